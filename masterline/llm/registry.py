@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from masterline.llm import mixing, sharding
+from masterline.llm import mixing, quality, secrets, sharding
 
 
 def queries() -> dict:
     return {
+        "op2_secret_scans": secrets.op2_secret_scans,
+        "op3_quality_rules": quality.op3_quality_rules,
         "op7_mixing": mixing.op7_mixing,
         "op8_sharding": sharding.op8_sharding,
     }
 
 
 def oracle_sql() -> dict:
-    return {"op7_mixing": mixing.SQL}
+    return {"op2_secret_scans": secrets.SQL, "op3_quality_rules": quality.SQL, "op7_mixing": mixing.SQL}
