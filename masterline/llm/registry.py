@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from masterline.llm import mixing, quality, secrets, sharding
+from masterline.llm import mixing, packing, quality, secrets, sharding, token_counts
 
 
 def queries() -> dict:
     return {
+        "op1_best_fit_packing": packing.op1_best_fit_packing,
         "op2_secret_scans": secrets.op2_secret_scans,
         "op3_quality_rules": quality.op3_quality_rules,
         "op7_mixing": mixing.op7_mixing,
         "op8_sharding": sharding.op8_sharding,
+        "op9_token_counts": token_counts.op9_token_counts,
     }
 
 
