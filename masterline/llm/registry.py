@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from masterline.llm import mixing, packing, quality, secrets, sharding, token_counts
+from masterline.llm import mixing, packing, quality, secrets, sharding, simhash, token_counts
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op1_best_fit_packing": packing.op1_best_fit_packing,
         "op2_secret_scans": secrets.op2_secret_scans,
         "op3_quality_rules": quality.op3_quality_rules,
+        "op6_simhash": simhash.op6_simhash,
         "op7_mixing": mixing.op7_mixing,
         "op8_sharding": sharding.op8_sharding,
         "op9_token_counts": token_counts.op9_token_counts,
