@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from masterline.llm import mixing, packing, quality, secrets, sharding, simhash, token_counts
+from masterline.llm import mixing, packing, quality, secrets, sharding, simhash, token_counts, winnowing
 
 
 def queries() -> dict:
@@ -14,6 +14,7 @@ def queries() -> dict:
         "op7_mixing": mixing.op7_mixing,
         "op8_sharding": sharding.op8_sharding,
         "op9_token_counts": token_counts.op9_token_counts,
+        "op10_fingerprints": winnowing.op10_fingerprints,
     }
 
 
