@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from masterline.llm.common import SPACE_CHARS, small, stage, text_of, words_of
+from masterline.llm.common import SPACE_CHARS, once, small, stage, text_of, words_of
 
 #: Fixed values of the document rules.
 LEAST_WORDS = 10
@@ -32,20 +32,16 @@ def repeat_words(words: Column, window: int = WINDOW) -> Column:
     hashes = F.transform(starts, lambda i: F.xxhash64(*(F.get(words, i + k) for k in range(window))))
 
     def covered(h: Column) -> Column:
-        by_hash = F.array_sort(F.arrays_zip(h.alias("h"), F.sequence(F.lit(0), F.size(h) - 1).alias("p")))
-
-        def of(s: Column) -> Column:
-            twice = F.filter(s, lambda x, i: (F.get(s, i - 1)["h"] == x["h"]) | (F.get(s, i + 1)["h"] == x["h"]))
-            places = F.array_sort(F.transform(twice, lambda x: x["p"]))
-            end = F.size(places) - 1
-            return F.element_at(F.transform(F.array(places), lambda p: F.aggregate(F.transform(p, lambda x, i: F.when(i == end, window).otherwise(F.least(F.get(p, i + 1) - x, F.lit(window)))), F.lit(0), lambda a, b: a + b)), 1)
-
-        return F.element_at(F.transform(F.array(by_hash), of), 1)
+        pairs = F.array_sort(F.arrays_zip(h.alias("h"), F.sequence(F.lit(0), F.size(h) - 1).alias("p")))
+        twice = lambda s: F.filter(s, lambda x, i: (F.get(s, i - 1)["h"] == x["h"]) | (F.get(s, i + 1)["h"] == x["h"]))
+        places = once(pairs, lambda s: F.array_sort(F.transform(twice(s), lambda x: x["p"])))
+        # a kept place covers up to the next kept one, at most a window
+        return once(places, lambda p: F.aggregate(F.transform(p, lambda x, i: F.least(F.coalesce(F.get(p, i + 1) - x, F.lit(window)), F.lit(window))), F.lit(0), lambda a, b: a + b))
 
     def count(h: Column) -> Column:
         return F.when(F.size(F.array_distinct(h)) == F.size(h), 0).otherwise(covered(h))
 
-    return F.when(F.size(words) > window, F.element_at(F.transform(F.array(hashes), count), 1)).otherwise(0).cast("long")
+    return F.when(F.size(words) > window, once(hashes, count)).otherwise(0).cast("long")
 
 
 def features(docs: DataFrame, text_col: str = "text") -> DataFrame:

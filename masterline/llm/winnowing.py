@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from masterline.llm.common import stage, text_of, words_of
+from masterline.llm.common import once, stage, text_of, words_of
 
 #: Words in a gram, and grams in a window: any passage of GRAM + WINDOW - 1 words that two texts share
 #: gives them a fingerprint in common.
@@ -15,11 +15,6 @@ LAST = (1 << 31) - 1
 ROWS_PER_RANGE = 200_000
 
 
-def once(value: Column, f) -> Column:
-    """f(value) with value computed once, however often f names it."""
-    return F.element_at(F.transform(F.array(value), f), 1)
-
-
 def winnow(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
     """array<long> of the selected grams of a text, in order: a 32-bit hash above the place it starts at.
 
