@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from masterline.llm import class_lm, mixing, packing, quality, secrets, sharding, simhash, token_counts, winnowing
+from masterline.llm import class_lm, mixing, packing, quality, secrets, sharding, simhash, token_counts, warc, winnowing
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op1_best_fit_packing": packing.op1_best_fit_packing,
         "op2_secret_scans": secrets.op2_secret_scans,
         "op3_quality_rules": quality.op3_quality_rules,
+        "op4_warc": warc.op4_warc,
         "op5_class_lm": class_lm.op5_class_lm,
         "op6_simhash": simhash.op6_simhash,
         "op7_mixing": mixing.op7_mixing,
@@ -20,4 +21,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return {"op2_secret_scans": secrets.SQL, "op3_quality_rules": quality.SQL, "op7_mixing": mixing.SQL}
+    return {"op2_secret_scans": secrets.SQL, "op3_quality_rules": quality.SQL, "op4_warc": warc.SQL, "op7_mixing": mixing.SQL}
