@@ -46,7 +46,7 @@ def shown(selected: Column) -> Column:
 
 
 def hashes(selected: Column) -> Column:
-    return F.array_distinct(F.transform(selected, lambda x: F.shiftright(x, 31)))
+    return F.array_distinct(F.transform(selected, lambda x: F.shiftright(x, 31).bitwiseXOR(F.lit(1 << 31)).cast("long") - F.lit(1 << 31)).cast("array<int>"))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -76,8 +76,9 @@ def followers(keys: DataFrame) -> DataFrame:
 def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprints of every document and of its edited text, and their likenesses, as op10 returns them.
 
-    Texts are dealt once, by key, and sorted there; of the next document only the start that replaces the
-    end and the set of hashes travel to the one before. Null text is empty; null ids come first; rows that
+    Texts are dealt once, by key: both uses of a text, as the document and as the next of another, read the
+    same exchange (their columns must stay alike for that). Of the next document only the start that
+    replaces the end and the set of hashes travel to the one before. Null text is empty; null ids come first; rows that
     repeat (equal id and text) are one document in the order and give equal rows; a lone document is its
     own next; an empty table gives an empty result.
     """
@@ -85,10 +86,11 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     keyed = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("_id"), F.xxhash64(text).alias("_h"), text.alias("_text"))
     keys = keyed.select("doc_id", "_id", "_h", F.length("_text").cast("long").alias("n_chars")).distinct()
     order = stage(followers(keys), "followers")
-    own = keyed.join(order.select("_id", "_h", "n_chars", "_nid", "_nh"), ["_id", "_h"])
+    dealt = keyed.repartition("_id", "_h")
+    own = dealt.join(order.select("_id", "_h", "n_chars", "_nid", "_nh"), ["_id", "_h"])
     selected = own.withColumn("_selected", winnow(F.col("_text")))
     before = order.select(F.col("_nid").alias("_id"), F.col("_nh").alias("_h"), F.col("_id").alias("_pid"), F.col("_h").alias("_ph"), F.floor(F.col("n_chars") / 4).cast("int").alias("_m"))
-    first = keyed.withColumn("_n", F.row_number().over(Window.partitionBy("_id", "_h").orderBy(F.lit(0)))).filter("_n = 1")
+    first = dealt.withColumn("_n", F.row_number().over(Window.partitionBy("_id", "_h").orderBy("doc_id"))).filter("_n = 1")
     given = first.join(before, ["_id", "_h"]).select(
         F.col("_pid").alias("_id"), F.col("_ph").alias("_h"), F.substring("_text", F.lit(1), F.col("_m")).alias("_start"), hashes(winnow(F.col("_text"))).alias("_next")
     )
