@@ -16,7 +16,7 @@ MODEL = "piece_bpe_32k.model"
 LIMIT = 4096
 #: Pre-tokens with at least 1/HEAD of all occurrences are broadcast: at most HEAD of them, of at most
 #: HEAD_CHARS characters. All others are joined by shuffling.
-HEAD = 500_000
+HEAD = 2_000_000
 HEAD_CHARS = 64
 #: Distinct pre-tokens that a task holds before it hands them on.
 FLUSH = 400_000
