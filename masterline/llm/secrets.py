@@ -62,9 +62,10 @@ def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", name(s), s["start"].cast("string"), s["stop"].cast("string"))), ",")
 
 
-def live_looking(value: Column) -> Column:
+def live_looking(value: Column, kind: Column) -> Column:
+    """Varied, without a word of an example, and of letters and digits; an access key's form says enough."""
     varied = F.size(F.array_distinct(F.split(value, ""))) >= LEAST_DISTINCT
-    return varied & value.rlike("[A-Za-z]") & value.rlike("[0-9]") & ~F.lower(value).rlike(EXAMPLE)
+    return varied & ((kind == 1) | (value.rlike("[A-Za-z]") & value.rlike("[0-9]"))) & ~F.lower(value).rlike(EXAMPLE)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repository_col: str | None = None, keep: tuple[str, ...] = (), most_owners: int = MOST_OWNERS) -> DataFrame:
@@ -89,7 +90,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
     )
     rows = stage(found, "secret-rows")
     each = rows.filter(F.size("_all") > 0).select("_row", "_owner", "_repository", F.explode("_all").alias("s")).select(
-        "_row", "_owner", "_repository", F.sha2(F.col("s.value"), 256).alias("value_sha"), live_looking(F.col("s.value")).alias("_looks"), "s.start", "s.kind", "s.stop"
+        "_row", "_owner", "_repository", F.sha2(F.col("s.value"), 256).alias("value_sha"), live_looking(F.col("s.value"), F.col("s.kind")).alias("_looks"), "s.start", "s.kind", "s.stop"
     )
     owned = each.select("value_sha", "_owner", "_repository").distinct().groupBy("value_sha", "_owner").agg(F.count(F.lit(1)).alias("_n"))
     owners = owned.groupBy("value_sha").agg(F.count(F.lit(1)).alias("owners"), F.sum("_n").alias("repositories"))
@@ -148,7 +149,7 @@ bare AS (
 cand AS (SELECT * FROM base UNION ALL SELECT * FROM bare),
 owned AS (SELECT v, count(DISTINCT coalesce(source, chr(1))) AS owners FROM cand GROUP BY v),
 judged AS (
-  SELECT cand.*, owners <= {MOST_OWNERS} AND len(list_distinct(string_split(cand.v, ''))) >= {LEAST_DISTINCT} AND regexp_matches(cand.v, '[A-Za-z]') AND regexp_matches(cand.v, '[0-9]')
+  SELECT cand.*, owners <= {MOST_OWNERS} AND len(list_distinct(string_split(cand.v, ''))) >= {LEAST_DISTINCT} AND (kind = 1 OR regexp_matches(cand.v, '[A-Za-z]') AND regexp_matches(cand.v, '[0-9]'))
     AND NOT regexp_matches(lower(cand.v), '{EXAMPLE}') AS live
   FROM cand JOIN owned ON cand.v = owned.v),
 kept AS (SELECT *, (CASE kind WHEN 0 THEN 'assign' WHEN 1 THEN 'access' WHEN 2 THEN 'hex' ELSE 'bare' END) || ':' || start || ':' || stop AS s FROM judged WHERE kind < 3 OR live),
