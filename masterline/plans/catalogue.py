@@ -653,3 +653,25 @@ def description_sample(spark, d):
 @query(f"WITH {PO} SELECT DISTINCT currency, country FROM po ORDER BY 1, 2")
 def distinct_clients(spark, d):
     return po_lines(spark, d).select("currency", "country").distinct().orderBy("currency", "country")
+
+
+@query("SELECT 'G' || s_suppkey AS global_supplier_id, s_name FROM supplier WHERE s_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_nationkey < 12) ORDER BY global_supplier_id LIMIT 20")
+def embedding_resume(spark, d):
+    """Suppliers still to be embedded, in id order, up to the limit of a run."""
+    s = table(spark, d, "supplier")
+    rows = s.select(F.concat(F.lit("G"), F.col("s_suppkey").cast("string")).alias("global_supplier_id"), "s_name")
+    done = s.filter("s_nationkey < 12").select(F.concat(F.lit("G"), F.col("s_suppkey").cast("string")).alias("global_supplier_id"))
+    return tables.absent(rows, done, ["global_supplier_id"]).orderBy("global_supplier_id").limit(20)
+
+
+@query("SELECT doc_id, substr(text, 1, 20) AS cluster_part, substr(text, 1, 100) AS preview, length(substr(text, 1, 8000)) AS n_embedded FROM documents")
+def truncations(spark, d):
+    t = F.col("text")
+    return table(spark, d, "documents").select("doc_id", F.substring(t, 1, 20).alias("cluster_part"), F.substring(t, 1, 100).alias("preview"), F.length(F.substring(t, 1, vectors.EMBED_CHARS)).cast("long").alias("n_embedded"))
+
+
+@query("SELECT c_mktsegment, CAST(c_nationkey AS INT) AS c_nationkey, count(*) AS n, min(c_custkey) AS first_key FROM customer GROUP BY 1, 2 HAVING count(*) >= 2")
+def group_size_split(spark, d):
+    """Blocks of at least two members, found by a window over the block."""
+    sized = table(spark, d, "customer").withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("c_mktsegment", "c_nationkey")))
+    return sized.filter("n >= 2").groupBy("c_mktsegment", "c_nationkey").agg(F.max("n").alias("n"), F.min("c_custkey").alias("first_key"))
