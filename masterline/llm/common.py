@@ -37,7 +37,7 @@ def once(value: Column, f) -> Column:
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder that the cluster names in spark.checkpoint.dir; only where that is unset (tests,
     local runs) a temporary folder, removed at exit."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or getattr(spark.sparkContext, "_masterline_scratch", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or getattr(spark.sparkContext, "_masterline_scratch", None)
     if not root:
         made = tempfile.mkdtemp(prefix="masterline-")
         atexit.register(shutil.rmtree, made, ignore_errors=True)
