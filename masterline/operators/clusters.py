@@ -14,8 +14,8 @@ from masterline.operators.ids import batches
 
 THRESHOLD = 0.65
 CONFIRMED = 0.85
-#: Distinct names up to which one group may be clustered without blocks.
-UNBLOCKED = 5_000
+#: Names of a part; each pair of parts is one task's work where all names are compared.
+PART = 1_000
 
 
 def token_jaccard(a: Column, b: Column) -> Column:
@@ -44,15 +44,57 @@ def lead(names: list[str], cleans: list[str], threshold: float = THRESHOLD) -> l
     return of
 
 
-def leader_clusters(names: DataFrame, name: str, block: Column | None = None, threshold: float = THRESHOLD) -> DataFrame:
+def nearest_before(names: DataFrame, threshold: float = THRESHOLD, part: int = PART) -> DataFrame:
+    """name, nearest: the most similar names (several only if tied) before it among all names(name, clean).
+
+    Names that have none as similar as threshold are left out. Every pair is compared, in some pair of parts.
+    """
+    parts = max(1, -(-names.count() // part))
+    own = names.withColumn("own", F.pmod(F.xxhash64("name"), F.lit(parts)).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        rows = list(group.sort_values("name", kind="stable")[["name", "clean", "own"]].itertuples(index=False, name=None))
+        across, out = group["own"].nunique() > 1 or bool((group["own"] != group["other"]).any()), []
+        for i, (n, c, p) in enumerate(rows):
+            score, tied = 0.0, []
+            for m, d, q in rows[:i]:
+                if not across or p != q:
+                    s = similarity(n, m, c, d)
+                    if s > score:
+                        score, tied = s, [m]
+                    elif s == score:
+                        tied.append(m)
+            if tied and score >= threshold and score > 0:
+                out.append((n, score, tied))
+        return pd.DataFrame(out, columns=["name", "score", "tied"])
+
+    found = own.groupBy(F.least("own", "other"), F.greatest("own", "other")).applyInPandas(run, "name string, score double, tied array<string>")
+    best = found.groupBy("name").agg(F.max("score").alias("most"), F.collect_list(F.struct("score", "tied")).alias("all"))
+    return best.select("name", F.flatten(F.transform(F.filter("all", lambda x: x["score"] == F.col("most")), lambda x: x["tied"])).alias("nearest"))
+
+
+def leader_clusters(names: DataFrame, name: str, block: Column | None = None, threshold: float = THRESHOLD, part: int = PART) -> DataFrame:
     """block, cluster, name: names sorted, each joins the cluster of its most similar predecessor in the block.
 
-    The result depends on the order, so a block is one task's work; without a block column all names are one
-    block as long as they are few (UNBLOCKED), and else are blocked by their key.
+    A block is one task's work. Without a block column all names, however many, are one block, and are compared
+    in pairs of parts; only the numbering, which depends on the order and is linear, is one task's work.
     """
     distinct = names.select(F.col(name).alias("name")).filter(T.strip(F.coalesce("name", F.lit(""))) != "").distinct()
     if block is None:
-        block = F.lit("all") if distinct.count() <= UNBLOCKED else T.block_key(T.clean_name(F.col("name")))
+        nearest = nearest_before(distinct.select("name", T.comparison_name(F.col("name")).alias("clean")), threshold, part)
+
+        def number(group: pd.DataFrame) -> pd.DataFrame:
+            group, of, n = group.sort_values("name", kind="stable"), {}, 0
+            for own, near in zip(group["name"], group["nearest"], strict=True):
+                if near is None:
+                    of[own], n = n, n + 1
+                else:
+                    of[own] = min(of[m] for m in near)
+            group["cluster"] = [of[x] for x in group["name"]]
+            return group[["block", "cluster", "name"]]
+
+        joined = distinct.join(nearest, "name", "left").withColumn("block", F.lit("all"))
+        return joined.groupBy("block").applyInPandas(number, "block string, cluster int, name string")
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("name", kind="stable")

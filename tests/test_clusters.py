@@ -82,3 +82,19 @@ def test_embed_skips_existing(spark):
     hit = V.search(new, got["G1"]["embedding"], 1).first()
     assert hit["global_supplier_id"] == "G1" and abs(hit["similarity"] - 1) < 1e-6
     assert V.embed_suppliers(master, facts, new.select("client_id", "global_supplier_id", "chunk_id").unionByName(old)).count() == 0
+
+
+def test_clusters_do_not_depend_on_parts(spark):
+    names = [*NAMES[:6], "The Acme Tools", "Tools Acme", "Globex Corp", "A Globex Corporation", "Zed Food", "The Zed Foods"]
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    cleaned = sorted((r["n"], r["c"]) for r in df.select("n", G.T.comparison_name(F.col("n")).alias("c")).collect())
+    expected = dict(zip([n for n, _ in cleaned], G.lead([n for n, _ in cleaned], [c for _, c in cleaned]), strict=True))
+    assert len(set(expected.values())) < len(expected)
+    for part in (2, 5, 1000):
+        assert {r["name"]: r["cluster"] for r in G.leader_clusters(df, "n", part=part).collect()} == expected
+
+
+def test_more_than_5000_names_are_compared_across_blocks(spark, monkeypatch):
+    monkeypatch.setattr(G, "similarity", lambda a, b, c, d: 1.0 if a.split()[-1] == b.split()[-1] else 0.0)
+    df = spark.createDataFrame([(f"{k} w{i}",) for i in range(2501) for k in ("alpha", "zeta")], "n string")
+    assert G.leader_clusters(df, "n").select("cluster").distinct().count() == 2501
