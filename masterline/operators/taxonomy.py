@@ -2,31 +2,43 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from masterline.functions import text as T
 
 CANDIDATES = 25
-#: Taxonomy rows that may be broadcast; a taxonomy is a curated list, and a longer one is refused.
+#: Category paths that are broadcast as one array; more are scored in blocks of about that many.
 MOST_CATEGORIES = 50_000
 
 
-def top_categories(descriptions: DataFrame, description: str, taxonomy: DataFrame, k: int = CANDIDATES) -> DataFrame:
+def top_categories(descriptions: DataFrame, description: str, taxonomy: DataFrame, k: int = CANDIDATES, most: int = MOST_CATEGORIES) -> DataFrame:
     """description, l1, l2, l3, score, rank: the k best categories of each distinct description, ties by path.
 
-    The whole taxonomy, of checked size, is one array beside each description, so a description's categories
-    are scored and cut to k inside its row, and nothing is shuffled but the distinct descriptions.
+    The distinct paths, up to `most`, are one array beside each description, so a description's categories are
+    scored and cut to k inside its row, and nothing is shuffled but the distinct descriptions. More paths are
+    dealt into blocks, and the k best of each block are merged.
     """
-    n = taxonomy.count()
-    if n > MOST_CATEGORIES:
-        raise ValueError(f"a taxonomy of {n} rows is too large to broadcast")
-    paths = taxonomy.select("l1", "l2", "l3").distinct().withColumn("tokens", T.word_tokens(F.concat_ws(" ", F.coalesce("l1", F.lit("")), F.coalesce("l2", F.lit("")), F.coalesce("l3", F.lit("")))))
-    whole = paths.agg(F.collect_list(F.struct("l1", "l2", "l3", "tokens")).alias("_all")).withColumn("_one", F.lit(1))
+    paths = taxonomy.select("l1", "l2", "l3").distinct()
+    blocks = max(1, -(-paths.count() // most))
+    paths = paths.withColumn("tokens", T.word_tokens(F.concat_ws(" ", F.coalesce("l1", F.lit("")), F.coalesce("l2", F.lit("")), F.coalesce("l3", F.lit("")))))
     distinct = descriptions.select(F.col(description).alias("description")).filter("description IS NOT NULL").distinct().withColumn("_one", F.lit(1))
-    beside = distinct.join(F.broadcast(whole), "_one").withColumn("_d", T.word_tokens(F.col("description")))
-    scored = F.transform("_all", lambda c: F.struct((-T.overlap_score(F.col("_d"), c["tokens"])).alias("s"), c["l1"].alias("l1"), c["l2"].alias("l2"), c["l3"].alias("l3")))
-    best = beside.select("description", F.posexplode(F.slice(F.array_sort(scored), 1, k)).alias("_pos", "c"))
+
+    def best_of(part: DataFrame) -> DataFrame:
+        whole = part.agg(F.collect_list(F.struct("l1", "l2", "l3", "tokens")).alias("_all")).withColumn("_one", F.lit(1))
+        beside = distinct.join(F.broadcast(whole), "_one").withColumn("_d", T.word_tokens(F.col("description")))
+        scored = F.transform("_all", lambda c: F.struct((-T.overlap_score(F.col("_d"), c["tokens"])).alias("s"), c["l1"].alias("l1"), c["l2"].alias("l2"), c["l3"].alias("l3")))
+        return beside.select("description", F.slice(F.array_sort(scored), 1, k).alias("_best"))
+
+    if blocks == 1:
+        found = best_of(paths)
+    else:
+        block = F.pmod(F.xxhash64("l1", "l2", "l3"), F.lit(blocks))
+        every = reduce(DataFrame.unionByName, (best_of(paths.filter(block == i)) for i in range(blocks)))
+        found = every.groupBy("description").agg(F.slice(F.array_sort(F.flatten(F.collect_list("_best"))), 1, k).alias("_best"))
+    best = found.select("description", F.posexplode("_best").alias("_pos", "c"))
     return best.select("description", "c.l1", "c.l2", "c.l3", (-F.col("c.s")).alias("score"), (F.col("_pos") + 1).alias("rank"))
 
 

@@ -98,3 +98,16 @@ def test_more_than_5000_names_are_compared_across_blocks(spark, monkeypatch):
     monkeypatch.setattr(G, "similarity", lambda a, b, c, d: 1.0 if a.split()[-1] == b.split()[-1] else 0.0)
     df = spark.createDataFrame([(f"{k} w{i}",) for i in range(2501) for k in ("alpha", "zeta")], "n string")
     assert G.leader_clusters(df, "n").select("cluster").distinct().count() == 2501
+
+
+def test_top_categories_in_blocks(spark):
+    cats = spark.createDataFrame([(f"a{i % 7}", None if i % 5 == 0 else f"b{i % 11}", f"c{i}") for i in range(60)] * 2, "l1 string, l2 string, l3 string")
+    lines = spark.createDataFrame([("a1 b2",), ("c3 a4",), ("none",), (None,)], "d string")
+    whole = sorted(map(tuple, X.top_categories(lines, "d", cats, 9).collect()), key=str)
+    assert len(whole) == 27 and whole == sorted(map(tuple, X.top_categories(lines, "d", cats, 9, most=25).collect()), key=str)
+
+
+def test_repeated_rows_do_not_count_against_the_taxonomy(spark):
+    cats = spark.range(50_001).selectExpr("'Office' AS l1", "'Paper' AS l2", "concat('kind', id % 3) AS l3")
+    lines = spark.createDataFrame([("paper kind1",)], "d string")
+    assert [r["l3"] for r in X.top_categories(lines, "d", cats, 1).collect()] == ["kind1"]
