@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from masterline.functions import wordlists as W
-from masterline.functions.text import squeeze, strip
+from masterline.functions.text import once, squeeze, strip
 
 
 def _verdict(kind: str, confidence: str, reason: str) -> Column:
@@ -16,15 +16,23 @@ def _verdict(kind: str, confidence: str, reason: str) -> Column:
 
 
 def classify_entity(name: Column, first_names: Iterable[str] = W.FIRST_NAMES, short: bool = False) -> Column:
-    """struct(type, confidence, reason). short: the smaller rule set, without 'last, first' and with its own order."""
+    """struct(type, confidence, reason). short: the smaller rule set, without 'last, first' and with its own order.
+
+    first_names: lists of several hundred names are the caller's, see sources.files.read_word_list. The trimmed
+    name and its tokens are computed once each.
+    """
     first_names = list(first_names)
-    s = strip(F.coalesce(name, F.lit("")))
-    tokens = F.split(squeeze(F.regexp_replace(F.lower(s), r"[^\p{L}\p{N}_\s&]", " ")), " ")
+    given = F.coalesce(name, F.lit(""))
+    split = lambda s: F.split(squeeze(F.regexp_replace(F.lower(s), r"[^\p{L}\p{N}_\s&]", " ")), " ")
+    prepared = once(strip(given), lambda s: F.struct(s.alias("s"), split(s).alias("tokens")))
+    return F.when(given == "", _verdict("unknown", "low", "empty")).otherwise(once(prepared, lambda p: _rules(p["s"], p["tokens"], first_names, short)))
+
+
+def _rules(s: Column, tokens: Column, first_names: list[str], short: bool) -> Column:
     n, first, last = F.size(tokens), F.get(tokens, F.lit(0)), F.element_at(tokens, -1)
     has = lambda words: F.exists(tokens, lambda t: t.isin(*words))
     corporate = W.CORPORATE_WORDS_SHORT if short else W.CORPORATE_WORDS
-    v = F.when(F.coalesce(name, F.lit("")) == "", _verdict("unknown", "low", "empty"))
-    v = v.when(has(W.STRONG_SUFFIXES), _verdict("organization", "high", "legal_suffix"))
+    v = F.when(has(W.STRONG_SUFFIXES), _verdict("organization", "high", "legal_suffix"))
     v = v.when(first.isin(*W.PERSON_TITLES), _verdict("individual", "high", "title_prefix"))
     v = v.when(last.isin(*W.PERSON_TITLE_SUFFIXES), _verdict("individual", "high", "title_suffix"))
     v = v.when(has(corporate), _verdict("organization", "high", "corp_keyword"))

@@ -74,7 +74,8 @@ def is_abbreviation(short: pd.Series, long: pd.Series) -> pd.Series:
 
 def repair(text: str | None) -> str | None:
     """The JSON object in a text: as it is, fenced, between the outer braces, its complete clusters, or with
-    trailing commas dropped and open brackets closed; null if none parses."""
+    trailing commas dropped, open brackets closed and, where it has no other, single quotes for double; null if
+    none parses."""
     if not text:
         return None
     fenced = re.search(r"```(?:json)?\s*(.*?)\s*```", text, re.S)
@@ -95,6 +96,10 @@ def repair(text: str | None) -> str | None:
                 stack.pop()
         closed = re.sub(r",\s*$", "", body + '"' * quoted) + "".join(reversed(stack))
         tries.append(re.sub(r",\s*([}\]])", r"\1", closed))
+        if "'" in body and '"' not in body:
+            quotes = body.replace("'", '"')
+            open_ = "".join("]" * max(0, quotes.count("[") - quotes.count("]")) + "}" * max(0, quotes.count("{") - quotes.count("}")))
+            tries.append(re.sub(r",\s*([}\]])", r"\1", quotes + open_))
     for t in tries:
         try:
             found = json.loads(t)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,21 +12,28 @@ from masterline.operators.ids import format_id, max_id, row_numbers
 from masterline.operators.tables import keep_one
 
 
-def aggregate_suppliers(rows: DataFrame, name: str = "supplier_name_normalized") -> DataFrame:
-    """Per name: sorted sets of raw forms, supplier ids and currencies, row count, and the sum of amounts."""
-    return rows.groupBy(name).agg(
+def aggregate_suppliers(rows: DataFrame, name: str = "supplier_name_normalized", clean: Callable[[Column], Column] | None = None) -> DataFrame:
+    """Per name: sorted sets of raw forms, supplier ids and currencies, row count, and the sum of amounts.
+
+    clean: makes the name of the raw one, once for each different raw form, id and currency.
+    """
+    forms = ["supplier_name_raw", "supplier_id", "currency", *([] if clean else [name])]
+    sums = rows.groupBy(*forms).agg(F.count(F.lit(1)).alias("_n"), F.sum("amount").alias("_amount"))
+    named = sums.withColumn(name, clean(F.col("supplier_name_raw"))) if clean else sums
+    return named.groupBy(name).agg(
         F.array_sort(F.collect_set("supplier_name_raw")).alias("raw_names"),
         F.array_sort(F.collect_set("supplier_id")).alias("supplier_ids"),
         F.array_sort(F.collect_set("currency")).alias("currencies"),
-        F.count(F.lit(1)).alias("n_rows"),
-        F.sum("amount").alias("total_amount"),
+        F.sum("_n").alias("n_rows"),
+        F.sum("_amount").alias("total_amount"),
     )
 
 
-def name_histogram(rows: DataFrame, raw: str, cleaned: str, index: str) -> DataFrame:
-    """cleaned, best_original, n_forms, n_rows: raw forms are counted first, then ranked by count, earliest first."""
-    forms = rows.filter((F.trim(F.coalesce(raw, F.lit(""))) != "") & (F.col(cleaned) != "")).groupBy(cleaned, raw).agg(F.count(F.lit(1)).alias("_n"), F.min(index).alias("_first"))
-    return forms.groupBy(cleaned).agg(
+def name_histogram(rows: DataFrame, raw: str, index: str, clean: Callable[[Column], Column] = T.clean_name) -> DataFrame:
+    """cleaned, best_original, n_forms, n_rows, first_index: raw forms are counted first, each is cleaned once, and
+    they are ranked by count, earliest first. Blank forms, and those that cleaning empties, are left out."""
+    forms = rows.filter(F.trim(F.coalesce(raw, F.lit(""))) != "").groupBy(raw).agg(F.count(F.lit(1)).alias("_n"), F.min(index).alias("_first"))
+    return forms.withColumn("cleaned", clean(F.col(raw))).filter("cleaned != ''").groupBy("cleaned").agg(
         F.max_by(raw, F.struct(F.col("_n"), -F.col("_first"))).alias("best_original"),
         F.count(F.lit(1)).alias("n_forms"),
         F.sum("_n").alias("n_rows"),
@@ -43,9 +52,17 @@ def match_or_assign(names: DataFrame, master: DataFrame, name: str, order: list[
 
 
 def crosswalk(rows: DataFrame, ids: DataFrame, client: Column, name: str, first_index: str) -> DataFrame:
-    """One row per client and supplier id: the global id of the name seen first latest, with constant match metadata."""
-    pairs = rows.filter(F.col("supplier_id").isNotNull()).select(client.alias("client_id"), "supplier_id", name, first_index).join(ids.select(name, "global_supplier_id"), name)
-    last = keep_one(pairs.select("client_id", F.substring("supplier_id", 1, 100).alias("supplier_id"), "global_supplier_id", first_index, name), ["client_id", "supplier_id"], F.struct(first_index, name), last=True)
+    """One row per client and supplier id: the global id of the name seen first latest, with constant match metadata.
+
+    Ids stay whole. A blank one, or a name without any, goes by the first 100 characters of the name.
+    """
+    given = rows.select(client.alias("client_id"), F.col("supplier_id").alias("_id"), F.col(name).alias("_name"), F.col(first_index).alias("_first"))
+    names = given.groupBy("client_id", "_name").agg(F.min("_first").alias("_first"), F.count("_id").alias("_ids"))
+    short = F.substring("_name", 1, 100)
+    by_id = given.filter("_id IS NOT NULL").select("client_id", "_name", F.coalesce(F.nullif(T.strip(F.col("_id")), F.lit("")), short).alias("supplier_id")).distinct().join(names.drop("_ids"), ["client_id", "_name"])
+    by_name = names.filter("_ids = 0").select("client_id", "_name", short.alias("supplier_id"), "_first")
+    pairs = by_id.unionByName(by_name).join(ids.select(F.col(name).alias("_name"), "global_supplier_id"), "_name")
+    last = keep_one(pairs, ["client_id", "supplier_id"], F.struct("_first", "_name"), last=True)
     return last.select("client_id", "supplier_id", "global_supplier_id", F.lit("exact_name_key").alias("match_method"), F.lit(1.0).alias("match_confidence"), F.lit("name_key").alias("matched_on"))
 
 

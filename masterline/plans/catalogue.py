@@ -120,8 +120,8 @@ SELECT printf('G%05d', 10000 + row_number() OVER (ORDER BY first_line, supplier_
 FROM names ORDER BY supplier_name
 """)
 def supplier_master(spark: SparkSession, d: str) -> DataFrame:
-    cleaned = po_lines(spark, d).withColumn("supplier_name", T.clean_name(F.col("supplier_name_raw")))
-    names = cleaned.groupBy("supplier_name").agg(F.count(F.lit(1)).alias("n_lines"), F.countDistinct("supplier_name_raw").alias("n_forms"), F.sum("amount").alias("total"), F.min("line_id").alias("first_line"))
+    forms = po_lines(spark, d).groupBy("supplier_name_raw").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount"), F.min("line_id").alias("first"))
+    names = forms.groupBy(T.clean_name(F.col("supplier_name_raw")).alias("supplier_name")).agg(F.sum("n").alias("n_lines"), F.count(F.lit(1)).alias("n_forms"), F.sum("amount").alias("total"), F.min("first").alias("first_line"))
     numbered = row_numbers(names, [F.col("first_line"), F.col("supplier_name")], "n")
     return numbered.select(format_id(F.col("n") + 10_000).alias("global_supplier_id"), "supplier_name", "n_lines", "n_forms", F.col("total").cast("double").alias("total_spend")).orderBy("supplier_name")
 
@@ -190,7 +190,7 @@ picked AS (SELECT *, row_number() OVER (PARTITION BY cleaned ORDER BY score DESC
 SELECT cleaned, CASE WHEN size > 1 AND length(canonical_name) >= 2 THEN canonical_name ELSE n END AS canonical_name FROM picked JOIN canon ON n = supplier_name_raw WHERE r = 1
 """)
 def pick_canonical(spark, d):
-    members = po_lines(spark, d).select(T.clean_name(F.col("supplier_name_raw")).alias("cleaned"), F.col("supplier_name_raw").alias("name")).distinct()
+    members = po_lines(spark, d).select(F.col("supplier_name_raw").alias("name")).distinct().select(T.clean_name(F.col("name")).alias("cleaned"), "name")
     return clusters.canonical_names(members, ["cleaned"])
 
 
@@ -239,9 +239,9 @@ def entity_class(spark, d):
 
 @query(f"WITH {PO}, {_PEOPLE}, names AS (SELECT name FROM people UNION ALL SELECT supplier_name_raw FROM po) SELECT {sql_entity('name')} AS entity, count(*) AS n FROM names GROUP BY 1")
 def entity_counts(spark, d):
-    e = classify_entity(F.col("name"))
     names = people(spark, d).select("name").unionByName(po_lines(spark, d).select(F.col("supplier_name_raw").alias("name")))
-    return names.groupBy(F.concat_ws("/", e["type"], e["confidence"], e["reason"]).alias("entity")).agg(F.count(F.lit(1)).alias("n"))
+    named = names.groupBy("name").agg(F.count(F.lit(1)).alias("n")).withColumn("e", classify_entity(F.col("name")))
+    return named.groupBy(F.concat_ws("/", "e.type", "e.confidence", "e.reason").alias("entity")).agg(F.sum("n").alias("n"))
 
 
 @query(f"""
@@ -249,9 +249,8 @@ WITH {PO} SELECT {sql_clean("supplier_name_raw")} AS supplier_name_normalized, s
 string_agg(DISTINCT currency, '|' ORDER BY currency) AS currencies, count(*) AS n_rows, CAST(sum(amount) AS DOUBLE) AS total_amount FROM po GROUP BY 1
 """)
 def supplier_aggregate(spark, d):
-    rows = po_lines(spark, d).withColumn("supplier_name_normalized", T.clean_name(F.col("supplier_name_raw")))
     joined = lambda c: F.array_join(c, "|").alias(c)
-    return suppliers.aggregate_suppliers(rows).select("supplier_name_normalized", joined("raw_names"), joined("supplier_ids"), joined("currencies"), "n_rows", F.col("total_amount").cast("double").alias("total_amount"))
+    return suppliers.aggregate_suppliers(po_lines(spark, d), clean=T.clean_name).select("supplier_name_normalized", joined("raw_names"), joined("supplier_ids"), joined("currencies"), "n_rows", F.col("total_amount").cast("double").alias("total_amount"))
 
 
 _FORMS = f"forms AS (SELECT {sql_clean('supplier_name_raw')} AS cleaned, supplier_name_raw AS raw, count(*) AS n, min(line_id) AS first FROM po GROUP BY 1, 2)"
@@ -259,7 +258,7 @@ _FORMS = f"forms AS (SELECT {sql_clean('supplier_name_raw')} AS cleaned, supplie
 
 @query(f"WITH {PO}, {_FORMS} SELECT cleaned, arg_max(raw, n * 10000000000 - first) AS best_original, count(*) AS n_forms, CAST(sum(n) AS BIGINT) AS n_rows, min(first) AS first_index FROM forms GROUP BY cleaned")
 def best_original(spark, d):
-    return suppliers.name_histogram(po_lines(spark, d).withColumn("cleaned", T.clean_name(F.col("supplier_name_raw"))), "supplier_name_raw", "cleaned", "line_id")
+    return suppliers.name_histogram(po_lines(spark, d), "supplier_name_raw", "line_id")
 
 
 @query(f"""
@@ -267,7 +266,7 @@ WITH {PO}, {_FORMS} SELECT cleaned AS normalized, bool_or({sql_entity("raw")} LI
 FROM forms GROUP BY cleaned HAVING count(*) > 1
 """)
 def cluster_summary(spark, d):
-    forms = po_lines(spark, d).groupBy(T.clean_name(F.col("supplier_name_raw")).alias("normalized"), F.col("supplier_name_raw").alias("original")).agg(F.count(F.lit(1)).alias("count"))
+    forms = po_lines(spark, d).groupBy(F.col("supplier_name_raw").alias("original")).agg(F.count(F.lit(1)).alias("count")).withColumn("normalized", T.clean_name(F.col("original")))
     return suppliers.cluster_summary(forms.withColumn("individual", classify_entity(F.col("original"))["type"] == "individual"))
 
 
@@ -280,7 +279,8 @@ matched AS (SELECT name, first_line, coalesce(gid, 'G' || CAST((SELECT max(CAST(
 
 
 def _names(spark: SparkSession, d: str) -> DataFrame:
-    return po_lines(spark, d).groupBy(T.clean_name(F.col("supplier_name_raw")).alias("name")).agg(F.min("line_id").alias("first_line"))
+    forms = po_lines(spark, d).groupBy("supplier_name_raw").agg(F.min("line_id").alias("first_line"))
+    return forms.groupBy(T.clean_name(F.col("supplier_name_raw")).alias("name")).agg(F.min("first_line").alias("first_line"))
 
 
 def _seed_master(spark: SparkSession, d: str) -> DataFrame:
@@ -297,13 +297,20 @@ def match_or_assign(spark, d):
     return suppliers.match_or_assign(_names(spark, d), _seed_master(spark, d), "name", [F.col("first_line"), F.col("name")]).select("name", "global_supplier_id", "is_new")
 
 
+_ODD_ID = "CASE CAST(supplier_id AS BIGINT) % 5 WHEN 0 THEN NULL WHEN 1 THEN ' ' WHEN 2 THEN repeat('x', 120) || supplier_id ELSE supplier_id END"
+
+
 @query(f"""
-WITH {PO}, {_IDS}, pairs AS (SELECT supplier_id, {sql_clean("supplier_name_raw")} AS name, min(line_id) AS first FROM po GROUP BY 1, 2),
-firsts AS (SELECT p.supplier_id, p.name, m.gid, p.first FROM pairs p JOIN matched m USING (name))
-SELECT 'acme' AS client_id, supplier_id, arg_max(gid, first) AS global_supplier_id, 'exact_name_key' AS match_method, 1.0::DOUBLE AS match_confidence, 'name_key' AS matched_on FROM firsts GROUP BY supplier_id
+WITH {PO}, {_IDS}, given AS (SELECT {_ODD_ID} AS sid, {sql_clean("supplier_name_raw")} AS name, line_id FROM po),
+seen AS (SELECT name, min(line_id) AS first, count(sid) AS n_ids FROM given GROUP BY name),
+pairs AS (SELECT DISTINCT coalesce(nullif(trim(sid), ''), substr(name, 1, 100)) AS supplier_id, name FROM given WHERE sid IS NOT NULL UNION SELECT substr(name, 1, 100), name FROM seen WHERE n_ids = 0),
+linked AS (SELECT supplier_id, gid, row_number() OVER (PARTITION BY supplier_id ORDER BY s.first DESC, s.name DESC) AS r FROM pairs JOIN seen s USING (name) JOIN matched USING (name))
+SELECT 'acme' AS client_id, supplier_id, gid AS global_supplier_id, 'exact_name_key' AS match_method, 1.0::DOUBLE AS match_confidence, 'name_key' AS matched_on FROM linked WHERE r = 1
 """)
 def crosswalk(spark, d):
-    rows = po_lines(spark, d).groupBy("supplier_id", T.clean_name(F.col("supplier_name_raw")).alias("name")).agg(F.min("line_id").alias("first_line"))
+    """Over ids of which a fifth each are null, blank, and longer than 100 characters."""
+    forms = po_lines(spark, d).groupBy("supplier_id", "supplier_name_raw").agg(F.min("line_id").alias("first_line"))
+    rows = forms.select(F.expr(_ODD_ID).alias("supplier_id"), T.clean_name(F.col("supplier_name_raw")).alias("name"), "first_line")
     ids = suppliers.match_or_assign(_names(spark, d), _seed_master(spark, d), "name", [F.col("first_line"), F.col("name")])
     return suppliers.crosswalk(rows, ids, F.lit("acme"), "name", "first_line")
 
@@ -641,7 +648,7 @@ def stage_counts(spark, d):
 def load_counts(spark, d):
     from masterline.plans.pipelines import load_counts as counts
 
-    return counts(po_lines(spark, d).withColumn("supplier_name_normalized", T.clean_name(F.col("supplier_name_raw"))), {"supplier_master": _seed_master(spark, d)})
+    return counts(po_lines(spark, d), {"supplier_master": _seed_master(spark, d)}, clean=T.clean_name)
 
 
 @query(f"WITH {PO}, s AS (SELECT DISTINCT item_description AS x FROM po) SELECT x AS item_description FROM s ORDER BY md5(x), x LIMIT 100")

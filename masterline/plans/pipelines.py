@@ -46,18 +46,22 @@ def load_transactions(rows: DataFrame, client_id: str, client_name: str | None,
     return {"supplier_master": master, "supplier_attributes": attributes, "client_master": clients, "supplier_crosswalk": crosswalk}
 
 
-def load_counts(rows: DataFrame, state: Mapping[str, DataFrame]) -> DataFrame:
-    """rows_read, unique_suppliers, new_suppliers, existing_suppliers in one row, without writing: a dry run."""
-    names = rows.select("supplier_name_normalized").distinct()
-    known = tables.flag_existing(names, state["supplier_master"], F.lower(F.trim("supplier_name_normalized")), F.lower(F.trim("normalized_supplier_name")))
+def load_counts(rows: DataFrame, state: Mapping[str, DataFrame], clean=None) -> DataFrame:
+    """rows_read, raw_names, unique_suppliers, new_suppliers, existing_suppliers in one row, without writing: a dry run.
+
+    clean: makes the normalized name of the raw one, once for each different raw name.
+    """
+    keys = ["supplier_name_raw", *([] if clean else ["supplier_name_normalized"])]
+    forms = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    forms = forms.withColumn("supplier_name_normalized", clean(F.col("supplier_name_raw"))) if clean else forms
+    known = tables.flag_existing(forms.select("supplier_name_normalized").distinct(), state["supplier_master"], F.lower(F.trim("supplier_name_normalized")), F.lower(F.trim("normalized_supplier_name")))
     counts = known.agg(F.count(F.lit(1)).alias("unique_suppliers"), F.count_if(~F.col("is_existing")).alias("new_suppliers"), F.count_if("is_existing").alias("existing_suppliers"))
-    return rows.agg(F.count(F.lit(1)).alias("rows_read"), F.countDistinct("supplier_name_raw").alias("raw_names")).join(F.broadcast(counts))
+    return forms.agg(F.sum("_n").alias("rows_read"), F.countDistinct("supplier_name_raw").alias("raw_names")).join(F.broadcast(counts))
 
 
 def normalize_names(rows: DataFrame, name: str = "name", index: str = "row_index", resolver=clusters.similar_resolver, least_group: int = 2, size: int = 50) -> DataFrame:
     """One result per distinct cleaned name: original, normalized, individual, cluster, confidence, method, count."""
-    cleaned = rows.withColumn("cleaned", T.clean_name(F.col(name)))
-    entries = suppliers.name_histogram(cleaned, name, "cleaned", index)
+    entries = suppliers.name_histogram(rows, name, index)
     tagged = entries.withColumn("individual", classify_entity(F.col("best_original"))["type"] == "individual").withColumn("block", T.block_key(F.col("cleaned")))
     sized = tagged.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("block")))
     alone = clusters.singletons(sized.filter(F.col("_n") < least_group))
@@ -168,14 +172,19 @@ def refresh_master(lines: DataFrame, countries: DataFrame, categories: DataFrame
 
 
 def run_staged(spark: SparkSession, log: str, run_id: str, stages: list) -> dict:
-    """Run (name, function) stages in order with one log row each; a failing stage is logged and ends the run."""
+    """Run (name, function) stages in order with one log row each; a failing stage is logged and ends the run.
+
+    A frame is written once, then counted and handed on as written.
+    """
     from masterline.sources.files import append_log
+    from masterline.sources.scratch import kept
 
     out: dict = {}
     for name, function in stages:
         try:
-            out[name] = function(out)
-            append_log(spark, log, run_id, name, "ok", out[name].count() if isinstance(out[name], DataFrame) else None)
+            made = function(out)
+            out[name] = kept(made, f"stage-{name}") if isinstance(made, DataFrame) else made
+            append_log(spark, log, run_id, name, "ok", out[name].count() if isinstance(made, DataFrame) else None)
         except Exception as failure:
             append_log(spark, log, run_id, name, "error", 0, str(failure)[:500])
             raise
