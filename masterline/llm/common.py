@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from masterline.functions.text import once
+from masterline.sources.scratch import kept as stage
+from masterline.sources.scratch import scratch_path, scratch_root
+
+__all__ = ["once", "scratch_path", "scratch_root", "stage"]
+
 #: A word is a maximal run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
@@ -29,41 +30,24 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(text, SPACE), lambda w: w != "")
 
 
-def once(value: Column, f) -> Column:
-    """f(value) with value computed once, however often f names it."""
-    return F.element_at(F.transform(F.array(value), f), 1)
-
-
-def scratch_root(spark: SparkSession) -> str:
-    """The shared folder that the cluster names in spark.checkpoint.dir; only where that is unset (tests,
-    local runs) a temporary folder, removed at exit."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or getattr(spark.sparkContext, "_masterline_scratch", None)
-    if not root:
-        made = tempfile.mkdtemp(prefix="masterline-")
-        atexit.register(shutil.rmtree, made, ignore_errors=True)
-        root = f"file://{made}"
-        spark.sparkContext._masterline_scratch = root
-    return root.rstrip("/")
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/masterline/{name}-{uuid.uuid4().hex}"
-
-
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back: lineage ends there, and a lost executor
-    costs a reread instead of a recomputation."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def small(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
     """df with a broadcast hint if it has at most `limit` rows, else as it is (Spark then shuffles)."""
     n = df.count() if rows is None else rows
     return F.broadcast(df) if n <= limit else df
 
 
+def join_skewed(left: DataFrame, right: DataFrame, keys: list[str], count: str, total: int, most: int = 10_000) -> DataFrame:
+    """left inner-joined with right on keys; right has a row per key, and in `count` how many rows of left hold it.
+
+    Keys that hold at least 1/most of left's `total` rows, so at most `most` of them, are broadcast; the rows
+    of all others are shuffled. However many copies a key has, no task gets them all.
+    """
+    hot = F.col(count) * most >= total
+    often = right.filter(hot).drop(count)
+    rest = left.join(F.broadcast(often.select(*keys)), keys, "left_anti").join(right.filter(~hot).drop(count), keys)
+    return left.join(F.broadcast(often), keys).unionByName(rest)
+
+
 def ranked(df: DataFrame, group: str, order: list[Column], out: str, rows: int, per_bucket: int = 50_000) -> DataFrame:
     """df with `out`: a gapless long from 0 within each `group`, without sorting any group in one task.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from masterline.llm.common import SPACE_CHARS, once, small, stage, text_of, words_of
@@ -16,8 +16,9 @@ SYMBOLS = "#*$%&|<>"
 HOST_SYMBOL_PERCENT = 10
 HOST_DUP_LINE_PERCENT = 30
 HOST_REPEAT_PERCENT = 10
-#: A host is bad if its shrunken rate of failing documents is above this.
-HOST_MOST_RATE = 0.5
+#: A host is bad if its shrunken rate of failing documents is above the prior's mean by so many of the prior's
+#: standard deviations: verdicts follow the corpus, not a fixed rate.
+HOST_MARGIN = 0.5
 FEATURES = ("n_words", "word_chars", "n_lines", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -78,20 +79,23 @@ def host_failed() -> Column:
     )
 
 
-def host_verdicts(judged: DataFrame) -> DataFrame:
+def host_verdicts(judged: DataFrame, margin: float = HOST_MARGIN) -> DataFrame:
     """host, n_docs, n_failed, rate, bad of every host of judged(host, failed).
 
     A beta prior is fitted to the hosts' failure rates by moments: mean m, variance v, strength
     s = m(1-m)/v - 1, at least 1; one host or no spread gives strength 1e6 (all hosts alike). A host's rate
-    is (n_failed + s m) / (n_docs + s). A null host is one host.
+    is (n_failed + s m) / (n_docs + s), and it is bad if that exceeds m by more than margin times the prior's
+    deviation, sqrt(m(1-m)/(s+1)): of hosts alike none is. The moments are two sums over hosts, brought to the
+    driver as numbers. A null host is one host; without rows there is none.
     """
-    hosts = judged.groupBy("host").agg(F.count(F.lit(1)).alias("n_docs"), F.sum(F.col("failed").cast("long")).alias("n_failed"))
-    every = Window.partitionBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    raw = F.col("n_failed") / F.col("n_docs")
-    fitted = hosts.withColumn("_m", F.sum("n_failed").over(every) / F.sum("n_docs").over(every)).withColumn("_v", F.avg((raw - F.col("_m")) * (raw - F.col("_m"))).over(every))
-    strength = F.when(F.col("_v") > 1e-12, F.greatest(F.lit(1.0), F.col("_m") * (1 - F.col("_m")) / F.col("_v") - 1)).otherwise(1e6)
-    rate = (F.col("n_failed") + F.col("_s") * F.col("_m")) / (F.col("n_docs") + F.col("_s"))
-    return fitted.withColumn("_s", strength).withColumn("rate", rate).select("host", "n_docs", "n_failed", "rate", (F.col("rate") > HOST_MOST_RATE).alias("bad"))
+    hosts = stage(judged.groupBy("host").agg(F.count(F.lit(1)).alias("n_docs"), F.sum(F.col("failed").cast("long")).alias("n_failed")), "hosts")
+    n, failed = hosts.agg(F.sum("n_docs"), F.sum("n_failed")).first()
+    m = failed / n if n else 0.0
+    off = F.col("n_failed") / F.col("n_docs") - F.lit(m)
+    v = hosts.agg(F.avg(off * off)).first()[0] or 0.0
+    s = max(1.0, m * (1 - m) / v - 1) if v > 1e-12 else 1e6
+    rate = (F.col("n_failed") + F.lit(s * m)) / (F.col("n_docs") + F.lit(s))
+    return hosts.select("host", "n_docs", "n_failed", rate.alias("rate"), (rate > F.lit(m + margin * (m * (1 - m) / (s + 1)) ** 0.5)).alias("bad"))
 
 
 def judge(docs: DataFrame, host: Column | None = None, text_col: str = "text", keep: tuple[str, ...] | None = None) -> DataFrame:
@@ -108,7 +112,7 @@ def judge(docs: DataFrame, host: Column | None = None, text_col: str = "text", k
     counted = features(docs.withColumn("_host", host), text_col).select(*own, "_host", *FEATURES).withColumn("base_failed", base_failed())
     counted = stage(counted, "quality")
     verdicts = host_verdicts(counted.select(F.col("_host").alias("host"), F.col("base_failed").alias("failed")))
-    verdicts = stage(verdicts, "hosts").select(F.col("host").alias("_of"), F.col("bad").alias("host_bad"))
+    verdicts = verdicts.select(F.col("host").alias("_of"), F.col("bad").alias("host_bad"))
     out = counted.join(small(verdicts), F.col("_host").eqNullSafe(F.col("_of")), "left")
     return out.withColumn("kept", ~F.col("base_failed") & ~(F.col("host_bad") & host_failed())).drop("_host", "_of")
 
@@ -149,7 +153,7 @@ WITH docs AS (
 ), spread AS (SELECT *, avg((f / n - m) * (f / n - m)) OVER () AS v FROM moments
 ), rates AS (
   SELECT source, n, f, m, CASE WHEN v > 1e-12 THEN greatest(1.0::DOUBLE, m * (1 - m) / v - 1) ELSE 1e6::DOUBLE END AS s FROM spread
-), verdicts AS (SELECT source, (f + s * m) / (n + s) > {HOST_MOST_RATE}::DOUBLE AS bad FROM rates)
+), verdicts AS (SELECT source, (f + s * m) / (n + s) > m + {HOST_MARGIN}::DOUBLE * sqrt(m * (1 - m) / (s + 1)) AS bad FROM rates)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT (bad AND host_failed) AS kept
 FROM judged JOIN verdicts ON judged.source IS NOT DISTINCT FROM verdicts.source
 """
