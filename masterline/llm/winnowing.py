@@ -5,39 +5,65 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from masterline.llm.common import once, stage, text_of, words_of
+from masterline.llm.common import SPACE_CHARS, once, stage, text_of, words_of
 
-#: Words in a gram, and grams in a window: any passage of GRAM + WINDOW - 1 words that two texts share
+#: Tokens in a gram, and grams in a window: any passage of GRAM + WINDOW - 1 tokens that two texts share
 #: gives them a fingerprint in common.
 GRAM = 3
 WINDOW = 4
+#: Base and modulus (a prime below 2^30) of the rolling hash, and how a token's hash is cut to fit.
+BASE = 716_145_463
+MODULUS = 1_073_741_789
+TOKEN_BITS = (1 << 30) - 1
+#: Tokens are words; but of a text with fewer words than a passage, or with more characters a word than this
+#: (unspaced scripts, code), they are its runs of three characters, at every place.
+LONG_WORDS = 24
 LAST = (1 << 31) - 1
 ROWS_PER_RANGE = 200_000
 
 
+def tokens(text: Column) -> Column:
+    """Words of a text, or its character trigrams where words are too few or too long to tell passages."""
+    chars = F.split(F.translate(text, SPACE_CHARS, ""), "")
+    runs = once(chars, lambda c: F.when(F.size(c) < 3, F.array(F.array_join(c, ""))).otherwise(F.transform(F.slice(c, F.lit(1), F.greatest(F.size(c) - 2, F.lit(0))), lambda x, i: F.concat(x, F.get(c, i + 1), F.get(c, i + 2)))))
+    choose = lambda w: F.when((F.size(w) > 0) & ((F.size(w) < GRAM + WINDOW - 1) | (F.length(text) > LONG_WORDS * F.size(w))), runs).otherwise(w)
+    return once(words_of(text), choose)
+
+
+def rolling(t: Column, gram: int = GRAM) -> Column:
+    """Hashes of all grams of tokens t, at least `gram` of them.
+
+    Each token is hashed once, to h; a gram's hash is h[i] B^(k-1) + ... + h[i+k-1] modulo a prime. It rolls:
+    the next one is this times B, less h[i] B^k, plus h[i+k]. Arrays have no running state without copying, so
+    the sum is taken of its k terms.
+    """
+    powers = [pow(BASE, gram - 1 - k, MODULUS) for k in range(gram)]
+    sums = lambda h: F.transform(F.sequence(F.lit(0), F.size(h) - gram), lambda i: F.pmod(sum((F.get(h, i + k) * F.lit(p) for k, p in enumerate(powers)), F.lit(0).cast("long")), F.lit(MODULUS)))
+    return once(F.transform(t, lambda w: F.xxhash64(w).bitwiseAND(F.lit(TOKEN_BITS))), sums)
+
+
 def winnow(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
-    """array<long> of the selected grams of a text, in order: a 32-bit hash above the place it starts at.
+    """array<long> of the selected grams of a text, in order: its hash above the place it starts at.
 
     Of each window of grams the one with the least hash is selected, of equal ones the rightmost: the low
-    bits hold LAST - place, so the least long is that gram. A text with fewer words than a gram is one gram;
+    bits hold LAST - place, so the least long is that gram. A text with fewer tokens than a gram is one gram;
     one with fewer grams than a window is one window; a text without words has none.
     """
 
     def packed(h: Column, place: Column) -> Column:
-        return F.shiftleft(h.bitwiseAND(F.lit(0xFFFFFFFF)), 31) + (F.lit(LAST) - place)
+        return F.shiftleft(h, 31) + (F.lit(LAST) - place)
 
     def least(g: Column) -> Column:
         head = F.slice(g, F.lit(1), F.size(g) - (window - 1))
         slid = F.transform(head, lambda x, i: F.least(x, *(F.get(g, i + k) for k in range(1, window))))
         return F.when(F.size(g) >= window, F.array_distinct(slid)).otherwise(F.array(F.array_min(g)))
 
-    def grams(w: Column) -> Column:
-        starts = F.sequence(F.lit(0), F.size(w) - gram)
-        many = F.transform(starts, lambda i: packed(F.xxhash64(*(F.get(w, i + k) for k in range(gram))), i))
-        few = F.array(packed(F.xxhash64(w), F.lit(0)))
-        return F.when(F.size(w) >= gram, once(many, least)).when(F.size(w) > 0, few).otherwise(F.array().cast("array<bigint>"))
+    def grams(t: Column) -> Column:
+        many = F.transform(rolling(t, gram), packed)
+        few = F.array(packed(F.xxhash64(t).bitwiseAND(F.lit(TOKEN_BITS)), F.lit(0)))
+        return F.when(F.size(t) >= gram, once(many, least)).when(F.size(t) > 0, few).otherwise(F.array().cast("array<bigint>"))
 
-    return once(words_of(text), grams)
+    return once(tokens(text), grams)
 
 
 def shown(selected: Column) -> Column:
@@ -46,7 +72,7 @@ def shown(selected: Column) -> Column:
 
 
 def hashes(selected: Column) -> Column:
-    return F.array_distinct(F.transform(selected, lambda x: F.shiftright(x, 31).bitwiseXOR(F.lit(1 << 31)).cast("long") - F.lit(1 << 31)).cast("array<int>"))
+    return F.array_distinct(F.transform(selected, lambda x: F.shiftright(x, 31).cast("int")))
 
 
 def likeness(a: Column, b: Column) -> Column:
