@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from masterline.llm.common import small, stage, text_of
+from masterline.llm.common import join_skewed, small, stage, text_of
 from masterline.llm.components import components
 
 SHINGLE = 4
@@ -18,8 +18,10 @@ SEED = 42
 DISTANCE = 4
 #: Rows of a block that one task compares; a larger block is dealt out as pairs of parts.
 BLOCK_ROWS = 32_768
-#: Distinct fingerprints up to which 2, 3, ... blocks beyond the distance are cut, so that a key stays rare.
-SCALES = (4_000_000, 250_000_000)
+#: Blocks beyond the distance, all of which make a key: of 7 blocks every 3, so 35 keys of 27 bits, at any size.
+EXTRA = 3
+#: One in so many nodes is counted to tell which blocks are large. That decides how rows are dealt, not what links.
+COUNTED = 64
 
 
 def fingerprint(text: str, shingle: int = SHINGLE, seeds: tuple[int, ...] = (SEED,)) -> list[int]:
@@ -113,10 +115,10 @@ def links(nodes: DataFrame, distance: int = DISTANCE, total: int | None = None,
     """
     names = sorted(nodes.columns)
     total = 64 * len(names) if total is None else total
-    n = nodes.count()
-    extra = 2 + sum(n > s for s in SCALES)
-    keyed = nodes.select(*names, F.explode(block_keys([F.col(c) for c in names], distance, extra)).alias("key")).select(*names, "key.choice", "key.bits")
-    sizes = stage(keyed.groupBy("choice", "bits").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block_rows), "large-blocks")
+    keyed = nodes.select(*names, F.explode(block_keys([F.col(c) for c in names], distance, EXTRA)).alias("key")).select(*names, "key.choice", "key.bits")
+    share = max(1, min(COUNTED, block_rows // 256))
+    counted = keyed.filter(F.pmod(F.xxhash64(*names), F.lit(share)) == 0).groupBy("choice", "bits").agg((F.count(F.lit(1)) * share).alias("n"))
+    sizes = stage(counted.filter(F.col("n") > block_rows), "large-blocks")
     large = sizes.count()
     if large:
         parts = sizes.withColumn("parts", F.ceil(2 * F.col("n") / block_rows).cast("int")).drop("n")
@@ -169,13 +171,14 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     rows = stage(fingerprints(docs, id_col, text_col, shingle, seeds), "fingerprints")
     names = [c for c in rows.columns if c != "id"]
-    nodes = stage(rows.groupBy(*names).agg(F.min("id").alias("least")), "fingerprint-nodes")
+    nodes = stage(rows.groupBy(*names).agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies")), "fingerprint-nodes")
     roots = components(stage(links(nodes.select(*names), distance, total), "links"))
     rooted = nodes.withColumn("node", node_of([F.col(c) for c in names])).join(roots, "node", "left")
-    rooted = stage(rooted.select(*names, "least", F.coalesce("root", "node").alias("root")), "roots")
-    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    found = rooted.select(*names, "root").join(ids, "root").select(*names, "component_id")
-    return rows.join(found, names).select(F.col("id").alias(id_col), *names, "component_id")
+    rooted = stage(rooted.select(*names, "least", "copies", F.coalesce("root", "node").alias("root")), "roots")
+    sizes = rooted.agg(F.coalesce(F.sum("copies"), F.lit(0)), F.count(F.lit(1))).first()
+    ids = stage(rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("members")), "component-ids")
+    found = stage(join_skewed(rooted.select(*names, "copies", "root"), ids, ["root"], "members", sizes[1]).drop("root"), "component-of")
+    return join_skewed(rows, found, names, "copies", sizes[0]).select(F.col("id").alias(id_col), *names, "component_id")
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
