@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from masterline.llm.common import WORD, small, stage, text_of
+from masterline.operators.ids import row_numbers
 
 #: Weights by the rank of a source, repeating.
 WEIGHTS = (5, 2, 1)
@@ -29,26 +30,22 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, share_percent: int = SHARE
 
     Sources by code point, null last, take the weights in turn and share share_percent % of all sizes. A
     target stops at `most` times its source's size; the excess goes to the others by weight until none is
-    above. That is a water level: with sources by most * size / weight, the stopped ones are the first,
-    and the level is what remains over the weights that remain. One row per source; the windows run over
-    those rows only.
+    above. Each round is one sum over sources: what the stopped ones take off, and the weights of the rest,
+    give the next level, which only rises. Numbers alone reach the driver; sources are numbered in ranges.
     """
     sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    order = Window.orderBy(F.col("source").asc_nulls_last())
-    turn = (F.row_number().over(order) - 1) % len(weights)
-    weight = F.element_at(F.array(*map(F.lit, weights)), turn + 1).cast("long")
-    every = Window.partitionBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    level = Window.orderBy("_full", F.col("source").asc_nulls_last())
-    before = level.rowsBetween(Window.unboundedPreceding, -1)
-    t = sums.withColumn("_weight", weight).withColumn("_full", most * F.col("source_size") / F.col("_weight"))
-    t = (
-        t.withColumn("_left", F.sum("source_size").over(every) * F.lit(share_percent / 100) - F.coalesce(F.sum(most * F.col("source_size")).over(before), F.lit(0)))
-        .withColumn("_weights", F.sum("_weight").over(every) - F.coalesce(F.sum("_weight").over(before), F.lit(0)))
-        .withColumn("_level", F.col("_left") / F.col("_weights"))
-        .withColumn("_free", F.col("_full") > F.col("_level"))
-        .withColumn("_first", F.min(F.when(F.col("_free"), F.struct("_full", F.col("source").isNull(), "source", "_level"))).over(every)["_level"])
-    )
-    target = F.when(F.col("_full") > F.col("_first"), F.col("_first") * F.col("_weight")).otherwise((most * F.col("source_size")).cast("double"))
+    turn = (row_numbers(sums, [F.col("source").asc_nulls_last()], "_turn")).withColumn("_turn", (F.col("_turn") - 1) % len(weights))
+    t = stage(turn.withColumn("_weight", F.element_at(F.array(*map(F.lit, weights)), F.col("_turn").cast("int") + 1).cast("long")), "mix-sources")
+    full, level = most * F.col("source_size"), None
+    total = t.agg(F.sum("source_size")).first()[0] or 0
+    while True:
+        above = F.lit(False) if level is None else full < F.lit(level) * F.col("_weight")
+        stopped, free = t.agg(F.sum(F.when(above, full)), F.sum(F.when(~above, F.col("_weight")))).first()
+        found = (total * (share_percent / 100) - (stopped or 0)) / free if free else level
+        if found == level or found is None:
+            break
+        level = found
+    target = F.when(full < F.lit(level) * F.col("_weight"), full.cast("double")).otherwise(F.lit(level) * F.col("_weight"))
     return t.select("source", "source_size", target.alias("target"))
 
 
