@@ -151,9 +151,10 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     Needs doc_id, piece, length (1 to capacity); other columns pass. Only the histogram of lengths (at most
     capacity rows) comes to the driver; the plan it gives (a few rows per length and pattern) is broadcast.
     Pieces of one length are interchangeable: their rank, found by salted counts, tells their place. Equal
-    ids and repeated rows are pieces of their own; no pieces give no sequences.
+    ids and repeated rows are pieces of their own; no pieces give no sequences; columns of pieces named like the
+    added ones are replaced.
     """
-    spark = pieces.sparkSession
+    spark, pieces = pieces.sparkSession, pieces.drop("sequence_id", "offset", "_rank")
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     plan = spark.sparkContext.broadcast(places(minimum_bin_slack(histogram, capacity)))
     order = [F.col(c) for c in ("doc_id", "piece", *(c for c in ("start", "ids_crc32") if c in pieces.columns))]
