@@ -76,7 +76,7 @@ def test_minimum_bin_slack_uses_every_piece_once(seed):
         for k, n in pattern.items():
             used[k] += n * times
     assert used == Counter(lengths)
-    assert sum(t for _, t in patterns) <= sharding.best_fit_decreasing(sorted(lengths, reverse=True), 100)[1]
+    assert sum(t for _, t in patterns) <= sharding.best_fit_decreasing(sorted(Counter(lengths).items(), reverse=True), 100)[1]
 
 
 def test_fullest_is_the_best_subset():
@@ -115,10 +115,31 @@ def test_ownership_separates_examples_from_live(spark):
     live, copied = "Abc123Def456Ghi789Jk", "9f8e7d6c5b4a39281706f5e4d3c2b1a0"
     rows = [(i, f"doc {i} token={copied} end", f"o{i}") for i in range(6)] + [(10, f"x {live} y", "o1"), (11, f"z {live}", "o1"), (12, None, None)]
     got = {r["doc_id"]: r["spans"] for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
-    assert all(not s["live"] for i in range(6) for s in got[i]) and all(len(got[i]) == 2 for i in range(6))
+    assert got[0][0]["owners"] == 6 == got[0][0]["repositories"] and all(not s["live"] for i in range(6) for s in got[i]) and all(len(got[i]) == 2 for i in range(6))
     assert [s["live"] for s in got[10]] == [True] and got[10][0]["owners"] == 1 and got[10][0]["repositories"] == 2 and got[12] == []
 
 
+def test_verdicts_follow_owners_and_repositories(spark):
+    key = [f"{i:x}9f8e7d6c5b4a39281706f5e4d3c2b1a" for i in range(4)]
+    rows = [(i, f"same text token={key[0]}", f"o{i % 10}") for i in range(30)]  # copies of one text in ten sources
+    rows += [(100 + i, f"text {i} token={key[1]}", "o3") for i in range(20)]  # many texts of one owner
+    rows += [(200 + i, f"text {i} token={key[2]}", f"o{i % 10}") for i in range(40)]  # texts of all owners
+    rows += [(300 + i, f"text {i} token={key[3]}", f"o{i % 2}") for i in range(40)]  # of two
+    got = {r["doc_id"]: r["spans"][0] for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert [got[i]["live"] for i in (0, 100, 200, 300)] == [True, True, False, True]
+    assert [(got[i]["owners"], got[i]["repositories"]) for i in (0, 100, 200, 300)] == [(10, 1), (1, 20), (10, 40), (2, 40)]
+
+
+def test_bare_tokens_and_long_texts(spark):
+    n = 3000
+    token = lambda i: f"Q{i:05d}x8Y2z7W4v1U6t9S"
+    texts = ["9233A8ECF7C5B09FE5949719B6B82BC439E9329B", "just-a-long-slug-of-2023-words", "token=AbC123dEf456GhI789jKl0123 after", "IncomprehensibilitiesX1 zzz", " ".join(f"token={'%032x' % i} {token(i)}" for i in range(n))]
+    got = {r["doc_id"]: r["spans"] for r in secrets.scan(spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, source string")).collect()}
+    assert [[(s["kind"], s["start"], s["stop"]) for s in got[i]] for i in range(4)] == [[(3, 0, 40)], [], [(0, 0, 31)], []]
+    brute = brute_base(texts[4])
+    assert [(secrets.KINDS[s["kind"]], s["start"], s["stop"]) for s in got[4] if s["kind"] < 3] == brute and sum(s["kind"] == 3 for s in got[4]) == n
+
+
 def test_redact(spark):
     from pyspark.sql import functions as F
 
@@ -168,28 +189,70 @@ def test_bad_host_adds_rules_but_keeps_clean(spark, ):
     assert kept[100] and not kept[101] and kept[102] and kept[205]
 
 
+def test_host_verdicts(spark):
+    failed = {"a": (300, 30), "b": (300, 33), "c": (300, 90), "d": (4, 2), None: (300, 27)}
+    rows = [(h, i < f) for h, (n, f) in failed.items() for i in range(n)]
+    got = {r["host"]: r for r in quality.host_verdicts(spark.createDataFrame(rows, "host string, failed boolean")).collect()}
+    n, f = sum(x for x, _ in failed.values()), sum(x for _, x in failed.values())
+    m = f / n
+    v = sum((y / x - m) ** 2 for x, y in failed.values()) / len(failed)
+    s = max(1, m * (1 - m) / v - 1)
+    for h, (x, y) in failed.items():
+        rate = (y + s * m) / (x + s)
+        assert math.isclose(got[h]["rate"], rate) and got[h]["bad"] == (rate > m + quality.HOST_MARGIN * math.sqrt(m * (1 - m) / (s + 1)))
+    assert got["c"]["bad"] and not got["a"]["bad"] and not got[None]["bad"]
+    alike = spark.createDataFrame([(h, i < 3) for h in "xyz" for i in range(30)], "host string, failed boolean")
+    assert quality.host_verdicts(alike).filter("bad").count() == 0
+
+
 # language model
 
 
-def test_class_lm_base_scores(docs, rows):
+def tokens(t):
+    return (t or "").encode().lower().split() + [b""]
+
+
+@pytest.mark.parametrize(("known", "exchanged", "head"), [(40, 10, 50), (10_000, 20, 10_000), (20, 20, 1)])
+def test_class_lm_scores(docs, rows, known, exchanged, head):
     from pyspark.sql import functions as F
 
-    counts, model, alone = class_lm.fit(docs.filter(~class_lm.held_out()).select(F.coalesce("text", F.lit("")).cast("binary").alias("text")))
-    got = class_lm.score(docs, counts, model, alone, keep=(class_lm.held_out(),), head=50).collect()
-    train = Counter()
-    tokens = lambda t: (t or "").encode().lower().split() + [b""]
+    vocabulary, model = class_lm.fit(docs.filter(~class_lm.held_out()).select(F.coalesce("text", F.lit("")).cast("binary").alias("text")), classes=6, known=known, exchanged=exchanged)
+    got = class_lm.score(docs, vocabulary, model, keep=(class_lm.held_out(),), head=head).collect()
+    train, pairs = Counter(), Counter()
     out = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2
     for r in rows:
         if not out(r[0]):
-            train.update(tokens(r[1]))
+            t = tokens(r[1])
+            train.update(t)
+            pairs.update(zip([b"", *t], t))
     n, v = sum(train.values()), len(train)
+    words = {bytes(r["word"]): (r["n"], r["class"]) for r in vocabulary.collect()}
+    assert {w: x[0] for w, x in words.items()} == train and model.tokens == n and Counter(r["doc_id"] for r in got) == ids(rows)
+    # transitions: counted for all pairs with a known word, margins of the others kept
+    often = {b"", *sorted((w for w in train if w), key=lambda w: (-train[w], w))[: known - 1]}
+    between, first, second = np.zeros((6, 6)), np.zeros(6), np.zeros(6)
+    for (a, b), k in pairs.items():
+        i, j = words[a][1], words[b][1]
+        if a in often or b in often:
+            between[i, j] += k
+        else:
+            first[i] += k
+            second[j] += k
+    between += np.outer(first, second) / max(first.sum(), 1)
+    sizes = np.zeros(6)
+    for k, c in words.values():
+        sizes[c] += k
+    share = sizes / n
+    step = np.vstack([(between + share) / (between.sum(1)[:, None] + 1), share])
+    assert np.allclose(model.step, step) and np.allclose(step.sum(1), 1) and np.allclose(between.sum(1), sizes)
     by_id = {r[0]: r[1] for r in rows}
-    assert model.tokens == n and Counter(r["doc_id"] for r in got) == ids(rows)
     for r in got:
         t = tokens(by_id[r["doc_id"]])
-        base = sum(math.log10((train[w] + 1) / (n + v + 1)) for w in t)
+        base = [(train[w] + 1) / (n + v + 1) for w in t]
+        of = lambda w: words.get(w, (0, 6))
+        full = [model.rest * q + (1 - model.rest) * (step[of(u)[1], of(w)[1]] * of(w)[0] / sizes[of(w)[1]] if w in words else 0) for u, w, q in zip([b"", *t], t, base)]
         assert r["n_tokens"] == len(t) and r["n_known"] == sum(train[w] > 0 for w in t) and r["k0"] == out(r["doc_id"])
-        assert math.isclose(r["base_score"], base, rel_tol=1e-9) and r["score"] <= 0
+        assert math.isclose(r["base_score"], sum(map(math.log10, base)), rel_tol=1e-9) and math.isclose(r["score"], sum(map(math.log10, full)), rel_tol=1e-9)
 
 
 def test_class_lm_is_a_distribution_and_beats_frequency(spark):
@@ -201,17 +264,24 @@ def test_class_lm_is_a_distribution_and_beats_frequency(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     from pyspark.sql import functions as F
 
-    counts, model, alone = class_lm.fit(df.filter("doc_id >= 50").select(F.col("text").cast("binary").alias("text")), classes=4)
-    got = class_lm.score(df.filter("doc_id < 50"), counts, model, alone).agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
+    # most words are beyond the exchanged and many beyond the known ones: their own contexts give their class
+    vocabulary, model = class_lm.fit(df.filter("doc_id >= 50").select(F.col("text").cast("binary").alias("text")), classes=3, known=40, exchanged=12)
+    of = {r["word"].decode(): r["class"] for r in vocabulary.collect()}
+    assert len({of[w] for w in nouns}) == len({of[w] for w in verbs}) == 1 and of["n0"] != of["v0"]
+    got = class_lm.score(df.filter("doc_id < 50"), vocabulary, model).agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
     assert got[0] > got[1] + 0.2 * got[2]
-    unit, known = class_lm.unit_of(alone), {bytes(r["word"]): r["n"] for r in counts.collect()}
-    own, n = np.array([model.of[unit(w)] for w in known]), np.array(list(known.values()))
+    own, n = (np.array([r[c] for r in vocabulary.collect()]) for c in ("class", "n"))
     for previous in range(4):
         _, logs = model.logs(np.full(len(n), previous), own, n)
         unseen = model.rest / model.floor
         assert math.isclose((10**logs).sum() + unseen, 1, rel_tol=1e-6)
 
 
+def test_contexts_split_counts_that_do_not_fit():
+    keys, n = class_lm.counted(np.array([7] * 200_000 + [9, 3, 3]))
+    assert Counter({k: int(n[keys == k].sum()) for k in (3, 7, 9)}) == {3: 2, 7: 200_000, 9: 1} and n.max() <= 0xFFFF
+
+
 def test_exchange_finds_planted_classes():
     pairs = np.zeros((8, 8), dtype=np.int64)
     for a in range(8):
@@ -343,27 +413,65 @@ def test_shards(docs, rows):
         assert slots == list(range(len(slots)))
 
 
-def test_best_fit_is_tightest_and_balanced():
-    rng = np.random.default_rng(0)
-    sizes = sorted(rng.integers(1, 50, 3000).tolist(), reverse=True)
-    bins, n = sharding.best_fit_decreasing(sizes, 100)
-    room, want = [], []
+def one_by_one(sizes, capacity):
+    """Best fit, group by group, over a plain list of bins."""
+    room, bins = [], []
     for s in sizes:
         fit = [(r, i) for i, r in enumerate(room) if r >= s]
         i = min(fit)[1] if fit else len(room)
         if not fit:
-            room.append(100)
+            room.append(max(capacity, s))
         room[i] -= s
-        want.append(i)
-    assert n == len(room) and Counter(bins) and sorted(Counter(bins).values()) == sorted(Counter(want).values())
+        bins.append(i)
+    return bins
+
+
+def counts_of(sizes):
+    return sorted(Counter(sizes).items(), reverse=True)
+
+
+def loads_of(runs):
     loads = Counter()
-    for s, b in zip(sizes, sharding.balanced(sizes, 40), strict=True):
-        loads[b] += s
+    for s, _, n, b in runs:
+        loads[b] += s * n
+    return loads
+
+
+def test_best_fit_in_runs_is_best_fit_one_by_one():
+    rng = np.random.default_rng(0)
+    for most, capacity in ((50, 100), (400, 1000), (9, 20)):
+        sizes = sorted(rng.integers(1, most, 3000).tolist(), reverse=True)
+        runs, n = sharding.best_fit_decreasing(counts_of(sizes), capacity)
+        want = Counter()
+        for s, b in zip(sizes, one_by_one(sizes, capacity), strict=True):
+            want[b] += s
+        assert n == len(want) and sorted(loads_of(runs).values()) == sorted(want.values())
+        for s in set(sizes):
+            ranks = [k for size, rank, count, _ in runs if size == s for k in range(rank, rank + count)]
+            assert sorted(ranks) == list(range(sizes.count(s)))
+
+
+def test_shards_are_near_equal():
+    rng = np.random.default_rng(0)
+    sizes = rng.integers(1, 50, 3000).tolist()
+    loads = loads_of(sharding.balanced(counts_of(sizes), 40))
     assert len(loads) == 40 and max(loads.values()) - min(loads.values()) <= 50
-    loads = Counter()
-    for s, b in zip([*sizes, 60_000], sharding.balanced([*sizes, 60_000], 10), strict=True):
-        loads[b] += s
+    loads = loads_of(sharding.balanced(counts_of([*sizes, 60_000]), 10))
     assert sorted(loads.values())[-1] == 60_000 and sorted(loads.values())[-2] - min(loads.values()) <= 100 and len(loads) == 10
+    assert loads_of(sharding.balanced([(5, 3)], 10)) == {0: 5, 1: 5, 2: 5} and sharding.balanced([], 10) == []
+
+
+def test_shards_of_a_table_are_near_equal(spark):
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(5)
+    texts = ["x" * int(k) + str(i) for i, k in enumerate(rng.integers(1, 900, 1500))] + ["copy " * 30] * 400
+    got = sharding.shard(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 8).collect()
+    loads = Counter()
+    for r in got:
+        loads[r["shard"]] += r["size"]
+    total = sum(len(t) + 16 for t in texts)
+    assert len({r["shard"] for r in got if r["doc_id"] >= 1500}) == 1 and max(loads.values()) <= total / 8 * 1.01 and min(loads.values()) >= total / 8 * 0.95
 
 
 # token counts
@@ -387,24 +495,44 @@ def test_token_counts(spark, docs, rows):
 # fingerprints
 
 
-def brute_winnow(t, k=3, w=4):
-    def h(part):
-        # Spark chains the hash over the values, as its seed
-        x = 42
-        for p in part:
-            x = xxhash.xxh64(p.encode(), seed=x).intdigest()
-        return x & 0xFFFFFFFF
-
+def brute_tokens(t, k=3, w=4):
     ws = words(t)
+    if ws and (len(ws) < k + w - 1 or len(t) > winnowing.LONG_WORDS * len(ws)):
+        c = "".join(ws)
+        return [c[i : i + 3] for i in range(max(1, len(c) - 2))]
+    return ws
+
+
+def brute_winnow(t, k=3, w=4):
+    cut = lambda x: x & winnowing.TOKEN_BITS
+    ws = brute_tokens(t, k, w)
     if not ws:
         return []
     if len(ws) < k:
-        return [(h(ws), 0)]
-    g = [(h(ws[i : i + k]), i) for i in range(len(ws) - k + 1)]
+        x = 42  # Spark chains the hash over the values, as its seed
+        for p in ws:
+            x = xxhash.xxh64(p.encode(), seed=x).intdigest()
+        return [(cut(x), 0)]
+    h = [cut(xxhash.xxh64(p.encode(), seed=42).intdigest()) for p in ws]
+    now, top = sum(x * winnowing.BASE ** (k - 1 - i) for i, x in enumerate(h[:k])) % winnowing.MODULUS, winnowing.BASE**k
+    g = [(now, 0)]
+    for i in range(k, len(h)):  # rolled, gram by gram
+        now = (now * winnowing.BASE - h[i - k] * top + h[i]) % winnowing.MODULUS
+        g.append((now, i - k + 1))
     spans = [g[i : i + w] for i in range(len(g) - w + 1)] or [g]
     return list(dict.fromkeys(min(s, key=lambda x: (x[0], -x[1])) for s in spans))
 
 
+def test_winnowing_of_unspaced_and_short_texts(spark):
+    rng = np.random.default_rng(2)
+    han = "".join(chr(0x4E00 + int(x)) for x in rng.integers(0, 900, 400))
+    texts = [han, "minified=" + "function(){a+b}" * 40, "one two", "ab", "x", "\U0001f600\U0001f601", "", None, "last words of this text here"]
+    got = {r["doc_id"]: r for r in winnowing.fingerprint_edits(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    shown = lambda s: " ".join(f"{h:x}:{i}" for h, i in s)
+    assert all(got[i]["fingerprint"] == shown(brute_winnow(t or "")) for i, t in enumerate(texts))
+    assert got[0]["near_edited"] > 0.5 and got[1]["near_edited"] > 0.3 and got[2]["near_edited"] > 0
+
+
 def test_winnowing(docs, rows):
     unique = list({(r[0], r[1] or ""): None for r in rows})
     order = sorted(unique, key=lambda r: (r[0] is not None, r[0] or 0))
@@ -446,15 +574,15 @@ def test_empty_tables(no_docs):
     assert packing.pack(packing.tokenize(no_docs)).count() == 0
     assert secrets.scan(no_docs).count() == quality.judge(no_docs).count() == mixing.mix(no_docs).count() == 0
     assert simhash.near_groups(no_docs).count() == sharding.shard(no_docs).count() == token_counts.count_tokens(no_docs).count() == winnowing.fingerprint_edits(no_docs).count() == 0
-    counts, model, alone = class_lm.fit(no_docs.select(F.col("text").cast("binary").alias("text")))
-    assert class_lm.score(no_docs, counts, model, alone).count() == 0
+    vocabulary, model = class_lm.fit(no_docs.select(F.col("text").cast("binary").alias("text")))
+    assert class_lm.score(no_docs, vocabulary, model).count() == 0
 
 
 def test_no_training_text_scores_zero(spark, no_docs):
     from pyspark.sql import functions as F
 
-    counts, model, alone = class_lm.fit(no_docs.select(F.col("text").cast("binary").alias("text")))
-    got = class_lm.score(spark.createDataFrame([(1, "a b", 1)], "doc_id long, text string, score int"), counts, model, alone).first()
+    vocabulary, model = class_lm.fit(no_docs.select(F.col("text").cast("binary").alias("text")))
+    got = class_lm.score(spark.createDataFrame([(1, "a b", 1)], "doc_id long, text string, score int"), vocabulary, model).first()
     assert (got["n_tokens"], got["n_known"], got["base_score"], got["score"]) == (3, 0, 0, 0)
 
 
@@ -465,5 +593,5 @@ def test_clashing_columns(clashing, rows):
     assert secrets.scan(clashing).count() == quality.judge(clashing).count() == mixing.mix(clashing).count() == simhash.near_groups(clashing).count() == n
     assert sharding.shard(clashing).count() == token_counts.count_tokens(clashing).count() == winnowing.fingerprint_edits(clashing).count() == n
     assert packing.tokenize(clashing).select("doc_id").distinct().count() == len(ids(rows))
-    counts, model, alone = class_lm.fit(clashing.select(F.coalesce("text", F.lit("")).cast("binary").alias("text")))
-    assert class_lm.score(clashing, counts, model, alone).count() == n
+    vocabulary, model = class_lm.fit(clashing.select(F.coalesce("text", F.lit("")).cast("binary").alias("text")))
+    assert class_lm.score(clashing, vocabulary, model).count() == n
