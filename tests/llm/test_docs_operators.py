@@ -65,6 +65,20 @@ def test_tokenizers_agree_on_special_strings_and_scripts():
         assert encode(t) == tok.encode(t, add_special_tokens=False).ids
 
 
+def test_tokenizers_agree_on_random_texts():
+    import public_tokenizers
+    import tokenizers
+
+    encode = packing.encoder(open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb").read(), public_tokenizers.PATTERN)
+    coder = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = np.random.default_rng(9)
+    pools = ["abc XYZ 019 .,;'\n\t  ", "'s 're 'll don't I'm ", "éüßÑ 日本語 中文 русский عربى", "<|endoftext|> <|x|> ", "\u00a0\u2003\u200b\x00\x85 a1 ", "\U0001f600\u0301e\u0301 "]
+    for i in range(600):
+        pool = pools[i % len(pools)] + pools[int(rng.integers(len(pools)))]
+        text = "".join(rng.choice(list(pool), int(rng.integers(1, 120)))) + (" <|endoftext|>" if i % 9 == 0 else "")
+        assert encode(text) == coder.encode(text, add_special_tokens=False).ids, text
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_minimum_bin_slack_uses_every_piece_once(seed):
     rng = np.random.default_rng(seed)
@@ -277,6 +291,37 @@ def test_class_lm_is_a_distribution_and_beats_frequency(spark):
         assert math.isclose((10**logs).sum() + unseen, 1, rel_tol=1e-6)
 
 
+def test_contexts_of_a_word_are_merged_across_batches(spark):
+    rng = np.random.default_rng(8)
+    rows, want = [], Counter()
+    for i in range(900):
+        word, salt = [(b"often", 0), (b"other", 0), (b"", i % 3), (f"w{i}".encode(), 0)][min(3, int(rng.integers(0, 5)))]
+        codes = rng.choice(20, int(rng.integers(1, 6)), replace=False)
+        n = rng.integers(1, 0xFFFF, len(codes))
+        rows.append((bytearray(word), salt, bytearray((codes << 16 | n).astype("<u4").tobytes())))
+        want.update({(word, salt, int(c)): int(k) for c, k in zip(codes, n, strict=True)})
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        known = {b"": 0, b"often": 1, **{bytes([c]): c for c in range(2, 9)}}
+        got = class_lm.merged(spark.createDataFrame(rows, "word binary, salt int, entries binary"), spark.sparkContext.broadcast(known)).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    found, before = Counter(), Counter()
+    for r in got:
+        e = np.frombuffer(r["entries"], dtype="<u4").astype(int)
+        assert r["code"] == known.get(bytes(r["word"]), 9)
+        for x in e:
+            found[bytes(r["word"]), x >> 16] += int(x & 0xFFFF)
+        before[bytes(r["word"])] += r["n"]
+    flat, left = Counter(), Counter()
+    for (w, _, c), n in want.items():
+        flat[w, c] += n
+        left[w] += n * (c <= 9)
+    assert found == flat and all(before[w] == left[w] for w in before)
+    assert len(got) == len({(w, s) for w, s, _ in want})
+
+
 def test_contexts_split_counts_that_do_not_fit():
     keys, n = class_lm.counted(np.array([7] * 200_000 + [9, 3, 3]))
     assert Counter({k: int(n[keys == k].sum()) for k in (3, 7, 9)}) == {3: 2, 7: 200_000, 9: 1} and n.max() <= 0xFFFF
