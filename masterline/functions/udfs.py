@@ -7,9 +7,10 @@ import re
 import unicodedata
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, DoubleType, FloatType, StringType
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, DoubleType, FloatType, StringType
 
 
 @F.pandas_udf(StringType())
@@ -72,50 +73,56 @@ def is_abbreviation(short: pd.Series, long: pd.Series) -> pd.Series:
     return pd.Series([initials_match(a or "", b or "") for a, b in zip(short, long, strict=True)])
 
 
+#: A complete cluster of a resolver's answer, with its fields in the order that was asked for; confidence may lack.
+WHOLE_CLUSTER = re.compile(r'\{\s*"canonical"\s*:\s*"[^"]*"\s*,\s*"members"\s*:\s*\[[^\]]*\]\s*(?:,\s*"confidence"\s*:\s*"[^"]*"\s*)?\}')
+
+
+def _object(text: str) -> dict | None:
+    """The JSON object that text is, or the first one in the array that it is."""
+    try:
+        found = json.loads(text)
+    except ValueError:
+        return None
+    if isinstance(found, list):
+        found = next((x for x in found if isinstance(x, dict)), None)
+    return found if isinstance(found, dict) else None
+
+
+def _closed(text: str) -> list[str]:
+    """text from its first brace on, with open strings and brackets closed and trailing commas dropped; and, where it
+    has no double quotes, with single ones taken for them."""
+    start = text.find("{")
+    if start < 0:
+        return []
+    body, stack, quoted, escaped = text[start:].rstrip().rstrip("`").rstrip(), [], False, False
+    for c in body:
+        if quoted:
+            quoted, escaped = escaped or c != '"', c == "\\" and not escaped
+        elif c == '"':
+            quoted = True
+        elif c in "{[":
+            stack.append("}" if c == "{" else "]")
+        elif c in "}]" and stack:
+            stack.pop()
+    out = [re.sub(r",\s*$", "", body + '"' * quoted) + "".join(reversed(stack))]
+    if "'" in body and '"' not in body:
+        out += _closed(body.replace("'", '"'))
+    return [re.sub(r",\s*([}\]])", r"\1", t) for t in out]
+
+
 def repair(text: str | None) -> str | None:
-    """The JSON object in a text: as it is, fenced, between the outer braces, its complete clusters, or with
-    trailing commas dropped, open brackets closed and, where it has no other, single quotes for double; null if
-    none parses."""
+    """The JSON object in a text: as it is, fenced, or between the outer braces; else the complete clusters of an
+    answer that was cut off; else with brackets closed; null if none parses."""
     if not text:
         return None
     fenced = re.search(r"```(?:json)?\s*(.*?)\s*```", text, re.S)
     outer = re.search(r"\{.*\}", text, re.S)
-    tries = [text.strip(), *([fenced.group(1)] if fenced else []), *([outer.group(0)] if outer else [])]
-    groups = re.findall(r'\{[^{}]*"canonical"[^{}]*\}', text)
-    start = text.find("{")
-    if start >= 0:
-        body, stack, quoted, escaped = text[start:].rstrip().rstrip("`").rstrip(), [], False, False
-        for c in body:
-            if quoted:
-                quoted, escaped = escaped or c != '"', c == "\\" and not escaped
-            elif c == '"':
-                quoted = True
-            elif c in "{[":
-                stack.append("}" if c == "{" else "]")
-            elif c in "}]" and stack:
-                stack.pop()
-        closed = re.sub(r",\s*$", "", body + '"' * quoted) + "".join(reversed(stack))
-        tries.append(re.sub(r",\s*([}\]])", r"\1", closed))
-        if "'" in body and '"' not in body:
-            quotes = body.replace("'", '"')
-            open_ = "".join("]" * max(0, quotes.count("[") - quotes.count("]")) + "}" * max(0, quotes.count("{") - quotes.count("}")))
-            tries.append(re.sub(r",\s*([}\]])", r"\1", quotes + open_))
-    for t in tries:
-        try:
-            found = json.loads(t)
-        except ValueError:
-            continue
-        if isinstance(found, list):
-            found = next((x for x in found if isinstance(x, dict)), None)
-        if isinstance(found, dict):
-            return json.dumps(found, separators=(",", ":"))
-    whole = []
-    for g in groups:
-        try:
-            whole.append(json.loads(g))
-        except ValueError:
-            pass
-    return json.dumps({"clusters": whole}, separators=(",", ":")) if whole else None
+    found = next((x for t in (text.strip(), fenced and fenced.group(1), outer and outer.group(0)) if t and (x := _object(t)) is not None), None)
+    if found is None and (whole := [x for t in WHOLE_CLUSTER.findall(text) if (x := _object(t)) is not None]):
+        found = {"clusters": whole}
+    if found is None:
+        found = next((x for t in _closed(text) if (x := _object(t)) is not None), None)
+    return None if found is None else json.dumps(found, separators=(",", ":"))
 
 
 @F.pandas_udf(StringType())
@@ -128,8 +135,6 @@ def hash_embedding(s: pd.Series) -> pd.Series:
     """Deterministic stand-in for an embedding model: signed hashed words, 64 wide, of unit length; blank is zero."""
     import zlib
 
-    import numpy as np
-
     def one(text: str | None) -> np.ndarray:
         v = np.zeros(64, dtype=np.float32)
         for w in (text or "").lower().split():
@@ -139,3 +144,20 @@ def hash_embedding(s: pd.Series) -> pd.Series:
         return v / n if n else v
 
     return s.map(one)
+
+
+@F.pandas_udf(BinaryType())
+def packed(v: pd.Series) -> pd.Series:
+    """A vector as little-endian float32, four bytes a number."""
+    return v.map(lambda x: None if x is None else np.asarray(x, dtype="<f4").tobytes())
+
+
+@F.pandas_udf(ArrayType(FloatType()))
+def unpacked(b: pd.Series) -> pd.Series:
+    return b.map(lambda x: None if x is None else np.frombuffer(x, dtype="<f4"))
+
+
+@F.pandas_udf(StringType())
+def vector_literal(v: pd.Series) -> pd.Series:
+    """A vector as text, [a,b,...], each number as its shortest form in double precision."""
+    return v.map(lambda x: None if x is None else "[" + ",".join(str(float(y)) for y in x) + "]")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -123,10 +123,12 @@ def canonical_names(clusters: DataFrame, keys: list[str], name: str = "name") ->
 
 
 def singletons(entries: DataFrame) -> DataFrame:
-    """Results of names that are alone in their block."""
+    """Results of names that are alone in their block. cluster is for reading; names that begin alike share it, so
+    cluster_key has part of a hash of the whole name behind it."""
+    cluster = F.concat(F.lit("S-"), F.substring("cleaned", 1, 20))
     return entries.select(
-        F.col("best_original").alias("original"), F.col("best_original").alias("normalized"), "individual",
-        F.concat(F.lit("S-"), F.substring("cleaned", 1, 20)).alias("cluster"), F.lit("auto").alias("confidence"), F.lit("singleton").alias("method"), F.col("n_rows").alias("count"),
+        F.col("best_original").alias("original"), F.col("best_original").alias("normalized"), "individual", cluster.alias("cluster"),
+        F.concat(cluster, F.lit("-"), F.substring(F.sha2("cleaned", 256), 1, 12)).alias("cluster_key"), F.lit("auto").alias("confidence"), F.lit("singleton").alias("method"), F.col("n_rows").alias("count"),
     )
 
 
@@ -173,16 +175,8 @@ def resolve(entries: DataFrame, resolver: Resolver = similar_resolver, size: int
         out = [(n, *rows.get(i, (n, *rest))) for i, n in enumerate(names)]
         frame = pd.DataFrame(out, columns=["original", "normalized", "cluster", "confidence", "method"])
         frame["individual"], frame["count"] = group["individual"], group["n_rows"]
-        return frame[["original", "normalized", "individual", "cluster", "confidence", "method", "count"]]
+        alone = frame["cluster"].eq("ERR") | frame["cluster"].str.startswith("S-")
+        frame["cluster_key"] = frame["cluster"] + [f"-{key}-{i}" if x else "" for i, x in enumerate(alone)]
+        return frame[["original", "normalized", "individual", "cluster", "cluster_key", "confidence", "method", "count"]]
 
-    return batched.groupBy("block", "batch").applyInPandas(run, "original string, normalized string, individual boolean, cluster string, confidence string, method string, count long")
-
-
-def map_batches(rows: DataFrame, model: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
-    """An external model over batches of rows (enrichment, tags, categories); schema is what it returns."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            yield model(f)
-
-    return rows.mapInPandas(run, schema)
+    return batched.groupBy("block", "batch").applyInPandas(run, "original string, normalized string, individual boolean, cluster string, cluster_key string, confidence string, method string, count long")

@@ -5,18 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from masterline.sources.scratch import kept
+
 ROWS_PER_RANGE = 1_000_000
 
 
 def row_numbers(df: DataFrame, order: list[Column], out: str = "row_number") -> DataFrame:
-    """df with 1, 2, ... in order: rows are dealt into ranges, numbered there, and shifted by the ranges before.
+    """df with 1, 2, ... in order: rows are dealt into ranges, written, numbered there, and shifted by the ranges before.
 
-    order must tell all rows apart for the numbers to be reproducible.
+    order must tell all rows apart for the numbers to be reproducible. Up to ROWS_PER_RANGE rows are one range.
     """
     ranges = max(1, -(-df.count() // ROWS_PER_RANGE))
     if ranges == 1:
         return df.withColumn(out, F.row_number().over(Window.orderBy(*order)).cast("long"))
-    dealt = df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()).persist()
+    dealt = kept(df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()), "ranges")
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     shifts = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     numbered = dealt.withColumn("_in", F.row_number().over(Window.partitionBy("_range").orderBy(*order)))

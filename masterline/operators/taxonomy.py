@@ -68,3 +68,9 @@ def reassign(lines: DataFrame, answers: DataFrame, key: str) -> DataFrame:
     first = answers.groupBy(key).agg(F.min_by(F.struct("l1", "l2", "l3"), "answer").alias("_to"))
     joined = lines.join(first, key, "left")
     return joined.select(*(F.coalesce(F.col(f"_to.{c}"), F.col(c)).alias(c) if c in ("l1", "l2", "l3") else F.col(c) for c in lines.columns))
+
+
+def classification_counts(lines: DataFrame, supplier: str, least: float = 0.6) -> DataFrame:
+    """Per supplier: different category paths, and lines below the least confidence; null confidence is low."""
+    low = F.coalesce(F.col("confidence") < least, F.lit(True))
+    return lines.groupBy(supplier).agg(F.countDistinct(F.struct("l1", "l2", "l3")).alias("n_categories"), F.count_if(low).alias("n_low"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from masterline.functions.text import source_text
 from masterline.functions.udfs import hash_embedding
+from masterline.operators.tables import upsert
 
 EMBED_CHARS = 8_000
 STORED_CHARS = 10_000
@@ -42,6 +43,18 @@ def embed_suppliers(master: DataFrame, attributes: DataFrame, existing: DataFram
     return texts.select("client_id", "global_supplier_id", "chunk_id", embed(F.substring("_text", 1, EMBED_CHARS)).alias("embedding"), F.substring("_text", 1, STORED_CHARS).alias("source_text"), F.current_timestamp().alias("indexed_at"))
 
 
+def checked(vectors: DataFrame, width: int, vector: str = "embedding") -> tuple[DataFrame, DataFrame]:
+    """Rows whose vector has width numbers, and the others as global_supplier_id, error_message."""
+    good = F.coalesce(F.size(vector) == width, F.lit(False))
+    message = F.concat(F.lit("embedding length "), F.coalesce(F.size(vector), F.lit(0)).cast("string"), F.lit(f", expected {width}"))
+    return vectors.filter(good), vectors.filter(~good).select("global_supplier_id", message.alias("error_message"))
+
+
+def load_vectors(table: DataFrame, vectors: DataFrame) -> DataFrame:
+    """The table of vectors after an upsert: embedding, text and time of a known chunk are replaced, new chunks come in."""
+    return upsert(table, vectors, ["client_id", "global_supplier_id", "chunk_id"], ["embedding", "source_text", "indexed_at"])
+
+
 def search(vectors: DataFrame, query_vector: Sequence[float], k: int = 5, client_id: str = "global") -> DataFrame:
     """The nearest suppliers of a client, with a preview of their text."""
     own = vectors.filter((F.col("client_id") == client_id) & F.col("embedding").isNotNull())

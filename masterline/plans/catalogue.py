@@ -601,11 +601,6 @@ def union_assemble(spark, d):
     return conform(whole, schema).orderBy("name", "k")
 
 
-@query("SELECT event_type AS stage, CASE WHEN value < 5 THEN 'error' ELSE 'ok' END AS status, count(*) AS n_rows, count(DISTINCT user_id) AS n_runs FROM events GROUP BY 1, 2")
-def run_log_rollup(spark, d):
-    return table(spark, d, "events").groupBy(F.col("event_type").alias("stage"), F.when(F.col("value") < 5, "error").otherwise("ok").alias("status")).agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("user_id").alias("n_runs"))
-
-
 @query("""
 SELECT 'primary_key' AS "constraint", 'orders' AS target, (SELECT count(*) FROM (SELECT o_custkey FROM orders GROUP BY 1 HAVING count(*) > 1)) AS n
 UNION ALL SELECT 'not_null', 'orders.o_orderdate', (SELECT count(*) FROM orders WHERE o_orderdate IS NULL)

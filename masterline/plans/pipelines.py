@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from masterline.functions import text as T
 from masterline.functions.countries import normalize_country
 from masterline.functions.entity import classify_entity
-from masterline.operators import clusters, suppliers, tables, taxonomy
+from masterline.operators import clusters, models, suppliers, tables, taxonomy
 from masterline.operators.columns import missing_columns, rename_by_map
 from masterline.operators.ids import format_id, id_number, max_id, row_numbers
 from masterline.plans.schemas import MASTER_FILE, TABLES
 from masterline.sources.files import read_bulk
+from masterline.sources.scratch import kept
 
 
 def _stamp(df: DataFrame, table: str) -> DataFrame:
@@ -124,19 +125,27 @@ def proposals(matched: DataFrame) -> tuple[DataFrame, DataFrame]:
     return matched.filter(~F.col("is_new")).drop("is_new"), matched.filter("is_new").drop("is_new")
 
 
-def refresh_master(lines: DataFrame, countries: DataFrame, categories: DataFrame, master: DataFrame, threshold: float = clusters.THRESHOLD, least_rate: float = 0.5, today=None) -> DataFrame:
+def located(lines: DataFrame, countries: DataFrame) -> DataFrame:
+    """lines with a name, and the country of their supplier number: of repeated numbers the last, of blank ones none."""
+    known = countries.filter(~F.lower(F.trim("supplier_number")).isin("", "nan") & ~F.lower(F.trim("country")).isin("", "nan"))
+    lookup = tables.keep_one(known, ["supplier_number"], F.col("row_index"), last=True).select("supplier_number", "country")
+    return lines.filter(~F.lower(F.trim("supplier_name")).isin("", "nan")).join(lookup, "supplier_number", "left")
+
+
+def refresh_master(lines: DataFrame, countries: DataFrame, categories: DataFrame, master: DataFrame, threshold: float = clusters.THRESHOLD, least_rate: float = 0.5, today=None, confirm=models.same_company, classifier=models.first_candidate, reviewer=models.shared_words) -> DataFrame:
     """The master file after purchase lines: known suppliers merged, new ones classified, in name order.
 
-    lines: supplier_number, supplier_name, item_description, row_index; countries: supplier_number, country,
-    row_index. Offline, a category is the best candidate of a description, its confidence the share of the
-    description's tokens that its path has.
+    lines: supplier_number, supplier_name, item_description, row_index (all different); countries:
+    supplier_number, country, row_index. Names are clustered, and a model confirms ambiguous clusters; a
+    classifier chooses a category for each different description, and a reviewer looks at a supplier's lines of
+    low confidence beside its established categories. All three have offline defaults, see operators.models.
     """
     today = F.date_format(F.current_date() if today is None else today, "yyyy-MM-dd")
-    lookup = tables.keep_one(countries.filter(~F.lower(F.trim("supplier_number")).isin("", "nan") & ~F.lower(F.trim("country")).isin("", "nan")), ["supplier_number"], F.col("row_index"), last=True).select("supplier_number", "country")
-    good = lines.filter(~F.lower(F.trim("supplier_name")).isin("", "nan")).join(lookup, "supplier_number", "left")
-    found = clusters.leader_clusters(good, "supplier_name", threshold=threshold)
-    named = found.join(clusters.canonical_names(found, ["block", "cluster"]), ["block", "cluster"]).select(F.col("name").alias("supplier_name"), "canonical_name")
-    rows = good.join(named, "supplier_name", "left").withColumn("canonical_name", F.coalesce("canonical_name", "supplier_name")).withColumn("place", normalize_country(F.col("country")))
+    good = located(lines, countries)
+    found = kept(clusters.leader_clusters(good, "supplier_name", threshold=threshold), "refresh-clusters")
+    named = models.confirm_clusters(found, clusters.confirm(found), confirm).withColumnRenamed("name", "supplier_name")
+    rows = good.join(named, "supplier_name", "left").withColumn("canonical_name", F.coalesce("canonical_name", "supplier_name"))
+    rows = kept(rows.withColumn("place", normalize_country(F.col("country"))), "refresh-rows")
     facts = rows.groupBy("canonical_name").agg(
         F.array_sort(F.collect_set("supplier_name")).alias("variants"), F.count(F.lit(1)).alias("n_items"), F.array_sort(F.collect_set(F.col("place.name"))).alias("names"), F.array_sort(F.collect_set(F.col("place.code"))).alias("codes"),
     )
@@ -157,9 +166,9 @@ def refresh_master(lines: DataFrame, countries: DataFrame, categories: DataFrame
     quality = suppliers.quality_by_supplier(rows.select("canonical_name", "item_description"), "canonical_name", "item_description", least_rate)
     fresh = rows.join(new.select("canonical_name"), "canonical_name", "left_semi").join(quality.select("canonical_name", "flow"), "canonical_name")
     described = fresh.withColumn("_text", F.when(F.col("flow") == "po_line", F.col("item_description")).otherwise(F.col("canonical_name"))).filter((F.col("flow") != "po_line") | T.good_description(F.col("item_description")))
-    best = taxonomy.top_categories(described, "_text", categories, 1).withColumnRenamed("description", "_text")
-    share = F.least(F.lit(1.0), F.col("score") / F.greatest(F.lit(1), F.size(T.word_tokens(F.col("_text")))))
-    classified = described.join(best, "_text", "left").withColumn("confidence", F.coalesce(share, F.lit(0.0))).withColumn("l3_probability", F.col("confidence")).withColumn("reasoning", F.lit("token overlap"))
+    paths = models.classify(described, "_text", categories, classifier).withColumnRenamed("description", "_text")
+    lined = described.join(paths, "_text", "left").withColumn("confidence", F.coalesce("confidence", F.lit(0.0))).withColumn("l3_probability", F.coalesce("l3_probability", F.lit(0.0))).withColumn("reasoning", F.coalesce("reasoning", F.lit("")))
+    classified = models.consolidate(kept(lined, "refresh-lines"), "canonical_name", "row_index", "_text", reviewer)
     groups = taxonomy.category_groups(classified, "canonical_name").join(new, "canonical_name")
     kinds = dict(x.split(" ") for x in MASTER_FILE.split(", "))
     made = {
@@ -171,16 +180,18 @@ def refresh_master(lines: DataFrame, countries: DataFrame, categories: DataFrame
     return updated.unionByName(added, allowMissingColumns=True).orderBy(F.col("Normalized_Supplier_Name").cast("string"), "Overall_Category")
 
 
-def run_staged(spark: SparkSession, log: str, run_id: str, stages: list) -> dict:
+def run_staged(spark: SparkSession, log: str, run_id: str, stages: list, progress=None) -> dict:
     """Run (name, function) stages in order with one log row each; a failing stage is logged and ends the run.
 
-    A frame is written once, then counted and handed on as written.
+    A frame is written once, then counted and handed on as written. progress, if given, is called with the share
+    done and the name of each stage before it starts, and with 1.0 and "done" at the end.
     """
     from masterline.sources.files import append_log
-    from masterline.sources.scratch import kept
 
     out: dict = {}
-    for name, function in stages:
+    tell = progress or (lambda share, name: None)
+    for i, (name, function) in enumerate(stages):
+        tell(i / len(stages), name)
         try:
             made = function(out)
             out[name] = kept(made, f"stage-{name}") if isinstance(made, DataFrame) else made
@@ -188,4 +199,15 @@ def run_staged(spark: SparkSession, log: str, run_id: str, stages: list) -> dict
         except Exception as failure:
             append_log(spark, log, run_id, name, "error", 0, str(failure)[:500])
             raise
+    tell(1.0, "done")
     return out
+
+
+def load_summary(counts: DataFrame) -> DataFrame:
+    """What a load counted, as one row of JSON text."""
+    return counts.select(F.to_json(F.struct(*counts.columns)).alias("summary"))
+
+
+def summary_lines(counts: Mapping[str, int]) -> list[str]:
+    """The same for reading, a line for each count."""
+    return [f"{name.replace('_', ' ').capitalize()}: {n:,}" for name, n in counts.items()]

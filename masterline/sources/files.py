@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,19 +15,29 @@ from masterline.operators.columns import find_column, name_like_column, named_co
 from masterline.operators.tables import keep_one
 
 LOG_SCHEMA = "run_id string, stage string, status string, row_count long, error_message string, timestamp timestamp"
+POINTER = "at long, version string"
 
 
-def read_csv(spark: SparkSession, path: str, encoding: str = "UTF-8", header: bool = True) -> DataFrame:
-    """Every column as text: quoted fields may hold quotes, separators and line ends; bad bytes are replaced."""
-    options = {"header": header, "inferSchema": False, "quote": '"', "escape": '"', "multiLine": True, "mode": "PERMISSIVE", "encoding": encoding}
+def read_csv(spark: SparkSession, path: str, encoding: str = "UTF-8", header: bool = True, multiline: bool = True) -> DataFrame:
+    """Every column as text: quoted fields may hold quotes, separators and line ends; bad bytes are replaced.
+
+    multiline: a quoted field may hold line ends, for which a file is read whole by one task; without it large
+    files are split.
+    """
+    options = {"header": header, "inferSchema": False, "quote": '"', "escape": '"', "multiLine": multiline, "mode": "PERMISSIVE", "encoding": encoding}
     return spark.read.options(**options).csv(path)
 
 
-def read_csv_any(spark: SparkSession, path: str) -> DataFrame:
-    """As UTF-8, or as Latin-1 if that leaves replacement characters."""
-    df = read_csv(spark, path)
+def read_csv_any(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+    """As UTF-8, or as Latin-1 if that leaves replacement characters; the check stops at the first one."""
+    df = read_csv(spark, path, multiline=multiline)
     broken = F.exists(F.array(*map(quoted, df.columns)), lambda x: F.coalesce(x, F.lit("")).contains("�"))
-    return read_csv(spark, path, "ISO-8859-1") if df.filter(broken).limit(1).count() else df
+    return read_csv(spark, path, "ISO-8859-1", multiline=multiline) if df.filter(broken).limit(1).count() else df
+
+
+def read_word_list(spark: SparkSession, path: str) -> list[str]:
+    """A list of words, one a line, folded to lower case: the caller's long list of first names, for one."""
+    return sorted({r["value"].strip().lower() for r in spark.read.text(path).collect()} - {""})
 
 
 def read_names(spark: SparkSession, path: str, column: str | None = None, index: int | None = None, encoding: str = "UTF-8") -> DataFrame:
@@ -94,24 +105,39 @@ def mapping_export(results: DataFrame) -> DataFrame:
     return results.select("original", "normalized", "confidence")
 
 
+def export_tables(tables: dict[str, DataFrame], root: str) -> None:
+    """Each table as CSV, with a header, in a folder of its name under root."""
+    for name, df in tables.items():
+        write_csv(df, f"{root}/{name}")
+
+
 def publish(tables: dict[str, DataFrame], root: str) -> str:
-    """Write all tables under a new version of root, then point to it: readers see all of a version or none."""
+    """Write all tables under a new version of root, then add a pointer to it: readers see all of a version or none.
+
+    Pointers are only added, each as one file that appears whole, and the latest counts.
+    """
     spark = next(iter(tables.values())).sparkSession
     version = uuid.uuid4().hex
     for name, df in tables.items():
         df.write.parquet(f"{root}/versions/{version}/{name}")
-    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").json(f"{root}/current")
+    spark.createDataFrame([(time.time_ns(), version)], POINTER).coalesce(1).write.mode("append").json(f"{root}/current")
     return version
 
 
 def published(spark: SparkSession, root: str, name: str) -> DataFrame:
-    version = spark.read.schema("version string").json(f"{root}/current").first()[0]
+    version = spark.read.schema(POINTER).json(f"{root}/current").agg(F.max_by("version", "at")).first()[0]
     return spark.read.parquet(f"{root}/versions/{version}/{name}")
 
 
+def append_logs(rows: DataFrame, path: str) -> None:
+    """Append rows of LOG_SCHEMA as JSON lines; a missing timestamp is the present one."""
+    stamped = rows.withColumn("timestamp", F.coalesce("timestamp", F.current_timestamp()) if "timestamp" in rows.columns else F.current_timestamp())
+    stamped.select("run_id", "stage", "status", F.col("row_count").cast("long").alias("row_count"), "error_message", "timestamp").write.mode("append").json(path)
+
+
 def append_log(spark: SparkSession, path: str, run_id: str, stage: str, status: str, row_count: int | None = None, error: str | None = None) -> None:
     row = spark.createDataFrame([(run_id, stage, status, row_count, error)], "run_id string, stage string, status string, row_count long, error_message string")
-    row.withColumn("timestamp", F.current_timestamp()).coalesce(1).write.mode("append").json(path)
+    append_logs(row.coalesce(1), path)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:

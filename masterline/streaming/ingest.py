@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from masterline.sources.files import append_log
+
 
 def upload_stream(spark: SparkSession, root: str, schema: str) -> DataFrame:
     """Rows of the CSV files under root/<client_id>/ as they arrive, with the client in the path."""
@@ -13,11 +15,22 @@ def upload_stream(spark: SparkSession, root: str, schema: str) -> DataFrame:
     return rows.withColumn("upload_client_id", F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1))
 
 
-def ingest(stream: DataFrame, target: str, checkpoint: str, key: str = "batch_id") -> StreamingQuery:
-    """Append each batch to target under its number; a batch that is run again replaces itself."""
+def ingest(stream: DataFrame, target: str, checkpoint: str, key: str = "batch_id", log: str | None = None) -> StreamingQuery:
+    """Append each batch to target under its number; a batch that is run again replaces itself.
+
+    log: a run log that gets a row for each batch, with its rows or its error.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.withColumn(key, F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(target)
+        spark = batch.sparkSession
+        try:
+            batch.withColumn(key, F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(target)
+        except Exception as failure:
+            if log:
+                append_log(spark, log, str(number), "ingest", "error", 0, str(failure)[:500])
+            raise
+        if log:
+            append_log(spark, log, str(number), "ingest", "ok", spark.read.parquet(target).filter(F.col(key) == number).count())
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

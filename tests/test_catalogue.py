@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from masterline.plans import catalogue
+from masterline.plans import catalogue, catalogue_flows  # noqa: F401  the latter adds to the former's queries
 
 
 def value(x):
@@ -46,3 +46,9 @@ def test_filters_and_columns_reach_the_scan(spark, sf):
     plan = catalogue.po_lines(spark, sf).filter("line_id > 5").select("line_id", "amount")._jdf.queryExecution().executedPlan().toString()
     lineitem = next(x for x in plan.split("\n") if "l_extendedprice" in x and "FileScan" in x)
     assert "l_comment" not in lineitem and "l_shipdate" not in lineitem and "IsNotNull(l_suppkey)" in lineitem
+
+
+@pytest.mark.parametrize(("name", "most"), [("entity_counts", 20), ("best_original", 25), ("supplier_aggregate", 13), ("supplier_master", 13)])
+def test_names_are_cleaned_once_and_after_they_are_counted(spark, sf, name, most):
+    plan = catalogue.QUERIES[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.lower().count("regexp_replace(") <= most
