@@ -51,17 +51,19 @@ def cuts(n: int, capacity: int) -> list[tuple[int, int]]:
 
 
 def tokenize(docs: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 (and ids, array<int>, if asked) of every document.
+    """doc_id, piece, start, length, ids_crc32 (and ids, if asked) of every document.
 
     A document is its ids and then END_ID, so an empty or null text is one token. Texts pass one at a time,
-    whole; only documents longer than capacity are cut.
+    whole; only documents longer than capacity are cut. ids is binary, two bytes an id, little-endian: the
+    vocabulary has fewer than 65,536, and half the bytes are moved. Null ids of documents stay null, repeated
+    rows are documents each, an empty table gives no pieces.
     """
     import public_tokenizers
 
     spark = docs.sparkSession
     ranks = spark.sparkContext.broadcast(Path(public_tokenizers.path("byte_bpe_50k.tiktoken")).read_bytes())
     pattern = public_tokenizers.PATTERN
-    schema = PIECES + (", ids array<int>" if with_ids else "")
+    schema = PIECES + (", ids binary" if with_ids else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(ranks.value, pattern)
@@ -71,9 +73,9 @@ def tokenize(docs: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id",
                 ids = np.array([*encode(text.as_py()), END_ID], dtype="<u4")
                 for i, (start, length) in enumerate(cuts(len(ids), capacity)):
                     part = ids[start : start + length]
-                    for column, value in zip(columns, (doc_id, i, start, length, zlib.crc32(part.tobytes()), part.astype("int32")), strict=True):
+                    for column, value in zip(columns, (doc_id, i, start, length, zlib.crc32(part.tobytes()), part.astype("<u2").tobytes() if with_ids else None), strict=True):
                         column.append(value)
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
             n = 5 + with_ids
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns[:n], kinds, strict=False)], names=names[:n])
@@ -177,5 +179,6 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its place: see tokenize and pack for edge cases."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return pack(stage(tokenize(docs), "pieces"))

@@ -39,7 +39,7 @@ def test_packing_round_trip(docs, rows):
         for k, (start, n) in enumerate(packing.cuts(len(got), 2048)):
             want[r[0], k, start, n, zlib.crc32(np.array(got[start : start + n], "<u4").tobytes())] += 1
     assert Counter((p["doc_id"], p["piece"], p["start"], p["length"], p["ids_crc32"]) for p in packed) == want
-    assert all(len(p["ids"]) == p["length"] for p in packed)
+    assert all(len(p["ids"]) == 2 * p["length"] and zlib.crc32(np.frombuffer(p["ids"], "<u2").astype("<u4").tobytes()) == p["ids_crc32"] for p in packed)
     bins = {}
     for p in packed:
         bins.setdefault(p["sequence_id"], []).append((p["offset"], p["length"]))
