@@ -13,7 +13,9 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round hooks every node to its least neighbour, follows the hooks to their ends by doubling, and
     contracts the edges to those ends; rounds go on until no edge is left. Every step is an aggregation or
-    an equi-join, written to the shared folder, and nothing but a row count reaches the driver.
+    an equi-join, written to the shared folder, and nothing but a row count reaches the driver. Edges may repeat and
+    point either way; an edge from a node to itself makes it a node; null ends are not allowed (callers number
+    their nodes); ties can't occur, as the least node is one; no edges give no nodes.
     """
     labels = None
     while True:

@@ -118,6 +118,7 @@ def judge(docs: DataFrame, host: Column | None = None, text_col: str = "text", k
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its counts and verdicts: see judge for edge cases."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
     return judge(docs, keep=("doc_id",)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 

@@ -165,6 +165,7 @@ def redact(text: Column, spans: Column, mask: str = MASK) -> Column:
 
 
 def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its spans, joined, and how many are live or copied: see scan for edge cases."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
     found = scan(docs)
     base = F.filter("spans", lambda s: s["kind"] < 3)

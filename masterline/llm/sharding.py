@@ -161,5 +161,6 @@ def shard(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_co
 
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its shard and slot under the law of near-equal bytes: see shard for edge cases."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return shard(docs).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

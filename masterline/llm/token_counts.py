@@ -92,7 +92,8 @@ def count_tokens(docs: DataFrame, model: str | None = None, id_col: str = "doc_i
     One pass gathers the distinct pre-tokens of the corpus with their frequency; each is encoded once, for
     its number of pieces only. A second pass gives every document's frequencies: those of the most frequent
     pre-tokens (a bounded number, see HEAD) meet a broadcast table, all others are shuffled to the full
-    table and summed per document. Null and empty texts have no tokens; repeated rows are counted each.
+    table and summed per document. Null and empty texts have no tokens; repeated rows are counted each; a null id
+    stays; a very long word is a pre-token like any other, and is never broadcast; an empty table gives none.
     """
     import public_tokenizers
 
@@ -151,5 +152,6 @@ def count_tokens(docs: DataFrame, model: str | None = None, id_col: str = "doc_i
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its bytes and tokens: see count_tokens for edge cases."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return count_tokens(docs).withColumn("over_limit", F.col("n_tokens") > LIMIT)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -91,8 +92,13 @@ def inflated(stream, size: int = CHUNK) -> Iterator[bytes]:
     yield engine.flush()
 
 
+def filesystem(root: str) -> tuple[fs.FileSystem, str]:
+    """The file system and path of a URI; Spark's names of one store (s3a, s3n) are that store."""
+    return fs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", root))
+
+
 def opened(root: str) -> tuple[fs.FileSystem, str]:
-    store, path = fs.FileSystem.from_uri(root)
+    store, path = filesystem(root)
     store.create_dir(path, recursive=True)
     return store, path
 
@@ -138,7 +144,9 @@ def normalize(paths: DataFrame, root: str) -> DataFrame:
     """path, index, records of every archive of paths, rewritten under root.
 
     Each archive is inflated once, as a stream; every record becomes a gzip member of its own; the sidecar
-    index has a JSON line per record: offset, length, id, type, digest.
+    index has a JSON line per record: offset, length, id, type, digest. An empty payload is a record like any
+    other; one record at a time is held, so a task needs as much memory as its longest one; equal records stay
+    records of their own; no paths give no archives; a null path is an error.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,7 +178,8 @@ def read_archives(archives: DataFrame, root: str, with_payload: bool = False) ->
     """page_id, payload_bytes, payload_digest, record_type, refers_to (and payload) of the page records.
 
     Every record is read at its offset in the index and inflated alone. A response's payload is measured
-    and its digest checked against the header; a revisit has both in its headers, and no payload.
+    and its digest checked against the header; a revisit has both in its headers, and no payload. A null page_id
+    comes back null, an empty payload with 0 bytes; repeated records are a row each; no archives give no rows.
     """
 
     def number(urn: str) -> int | None:
@@ -178,7 +187,7 @@ def read_archives(archives: DataFrame, root: str, with_payload: bool = False) ->
         return None if text == "None" else int(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, _ = fs.FileSystem.from_uri(root)
+        store, _ = filesystem(root)
         for batch in batches:
             for path, index in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 with store.open_input_stream(index, compression=None) as f:
@@ -243,6 +252,7 @@ def archive(pages: DataFrame, root: str | None = None) -> tuple[DataFrame, str]:
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page, written to archives, normalised and read back: see archive and read_archives for edge cases."""
     archives, root = archive(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"))
     return read_archives(archives, root)
 

@@ -134,4 +134,5 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and its edited text's: see fingerprint_edits for edge cases."""
     return fingerprint_edits(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
