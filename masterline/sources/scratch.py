@@ -6,7 +6,10 @@ import atexit
 import re
 import shutil
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,12 +28,39 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/masterline/{name}-{uuid.uuid4().hex}"
+#: Paths made inside each open scope of a thread, the innermost last.
+_open = threading.local()
 
 
-def kept(df: DataFrame, name: str) -> DataFrame:
+def _scopes() -> list[list[str]]:
+    if not hasattr(_open, "scopes"):
+        _open.scopes = []
+    return _open.scopes
+
+
+def scratch_path(spark: SparkSession, name: str, outer: bool = False) -> str:
+    """A new path; it goes with the innermost open scope or, if outer, with the one around that."""
+    path = f"{scratch_root(spark)}/masterline/{name}-{uuid.uuid4().hex}"
+    if len(_scopes()) > outer:
+        _scopes()[-1 - outer].append(path)
+    return path
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at its end, the tables written inside, but for those written for outside (outer). Frames that read
+    the others must not be used after it."""
+    _scopes().append([])
+    try:
+        yield
+    finally:
+        for path in _scopes().pop():
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def kept(df: DataFrame, name: str, outer: bool = False) -> DataFrame:
     """df written as Parquet and read back: its lineage ends there, and a lost executor costs a reread."""
-    path = scratch_path(df.sparkSession, name)
+    path = scratch_path(df.sparkSession, name, outer)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

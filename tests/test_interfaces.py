@@ -120,3 +120,18 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
         with pytest.raises(ValueError, match="spark.checkpoint.dir"):
             scratch_root(session(master))
     assert scratch_root(session("local[8]")).startswith("file:///")
+
+
+def test_a_scope_deletes_what_was_written_inside(spark):
+    from masterline.sources.scratch import kept, scope
+
+    with scope(spark):
+        gone, stays = kept(spark.range(3), "in"), kept(spark.range(4), "out", outer=True)
+        with scope(spark):
+            middle = kept(spark.range(5), "middle", outer=True)
+            assert gone.count() == 3
+        assert middle.count() == 5
+    assert stays.count() == 4
+    for df in (gone, middle):
+        with pytest.raises(Exception):  # noqa: B017, PT011
+            df.count()
