@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from masterline.functions.text import once
 from masterline.sources.scratch import kept as stage
-from masterline.sources.scratch import scratch_path, scratch_root
+from masterline.sources.scratch import scope, scratch_path, scratch_root
 
-__all__ = ["once", "scratch_path", "scratch_root", "stage"]
+__all__ = ["once", "scope", "scratch_path", "scratch_root", "stage"]
 
 #: A word is a maximal run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
