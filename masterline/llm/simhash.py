@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from masterline.llm.common import join_skewed, small, stage, text_of
+from masterline.llm.common import join_skewed, scope, small, stage, text_of
 from masterline.llm.components import components
 
 SHINGLE = 4
@@ -171,14 +171,21 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     rows = stage(fingerprints(docs, id_col, text_col, shingle, seeds), "fingerprints")
     names = [c for c in rows.columns if c != "id"]
+    with scope(docs.sparkSession):
+        found, n = components_of(rows, names, distance, total)
+    return join_skewed(rows, found, names, "copies", n).select(F.col("id").alias(id_col), *names, "component_id")
+
+
+def components_of(rows: DataFrame, names: list[str], distance: int, total: int | None) -> tuple[DataFrame, int]:
+    """names, copies, component_id of the different fingerprints of rows(id, names), written, and the number of rows."""
     nodes = stage(rows.groupBy(*names).agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies")), "fingerprint-nodes")
     roots = components(stage(links(nodes.select(*names), distance, total), "links"))
     rooted = nodes.withColumn("node", node_of([F.col(c) for c in names])).join(roots, "node", "left")
     rooted = stage(rooted.select(*names, "least", "copies", F.coalesce("root", "node").alias("root")), "roots")
     sizes = rooted.agg(F.coalesce(F.sum("copies"), F.lit(0)), F.count(F.lit(1))).first()
     ids = stage(rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("members")), "component-ids")
-    found = stage(join_skewed(rooted.select(*names, "copies", "root"), ids, ["root"], "members", sizes[1]).drop("root"), "component-of")
-    return join_skewed(rows, found, names, "copies", sizes[0]).select(F.col("id").alias(id_col), *names, "component_id")
+    found = stage(join_skewed(rooted.select(*names, "copies", "root"), ids, ["root"], "members", sizes[1]).drop("root"), "component-of", outer=True)
+    return found, sizes[0]
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
