@@ -325,6 +325,12 @@ def normalizer_batches(spark, d):
     return P.normalize_names(rows, "raw", "k", resolver=_one_cluster).select("original", "normalized", "method", "count")
 
 
+@query("WITH r AS (" + C.SQL["normalizer_batches"] + """) SELECT count(*) AS names, CAST(sum("count") AS BIGINT) AS rows, count(DISTINCT normalized) AS canonical_names, count(*) FILTER (method = 'resolver-cluster') AS clustered, 0 AS errors FROM r""")
+def normalizer_stats(spark, d):
+    """What the name flow reports at its end."""
+    return P.normalization_stats(normalizer_batches(spark, d).withColumn("individual", F.lit(False))).select("names", "rows", "canonical_names", "clustered", F.col("errors").cast("int").alias("errors"))
+
+
 @query(f"WITH {PO}, {C._FORMS}, best AS (SELECT cleaned, arg_max(raw, n * 10000000000 - first) AS best FROM forms GROUP BY cleaned) SELECT line_id, {sql_clean('supplier_name_raw')} AS cleaned, best AS best_original FROM po JOIN best ON {sql_clean('supplier_name_raw')} = best.cleaned")
 def name_rows(spark, d):
     """Every row beside its cleaned name and the best form of it: the row indices of a name, as rows."""
@@ -412,6 +418,21 @@ def located_lines(spark, d):
     return P.located(lines, countries).groupBy(F.coalesce("country", F.lit("-")).alias("country")).agg(F.count(F.lit(1)).alias("n_lines"), F.countDistinct("supplier_name").alias("n_names"))
 
 
+@query(f"""
+WITH {PO}, lines AS (SELECT supplier_name_raw AS raw, CASE WHEN CAST(supplier_id AS BIGINT) % 3 = 0 THEN 'Canon ' || supplier_id ELSE supplier_name_raw END AS canonical_name, CASE line_id % 3 WHEN 0 THEN 'France' WHEN 1 THEN 'Germany' ELSE 'Unknown' END AS place FROM po)
+SELECT canonical_name, string_agg(DISTINCT raw, '; ' ORDER BY raw) AS variants, count(*) AS n_items, string_agg(DISTINCT place, ', ' ORDER BY place) AS places FROM lines GROUP BY 1
+""")
+def supplier_facts(spark, d):
+    """Lines under their canonical names: variants, lines and countries of each."""
+    from masterline.functions.countries import normalize_country
+
+    po = po_lines(spark, d).select(F.col("supplier_name_raw").alias("supplier_name"), "supplier_id", "line_id")
+    names = po.filter(F.col("supplier_id").cast("long") % 3 == 0).select("supplier_name", F.concat(F.lit("Canon "), "supplier_id").alias("canonical_name")).distinct()
+    n = F.col("line_id") % 3
+    rows = P.renamed(po, names).withColumn("place", normalize_country(F.when(n == 0, "fr").when(n == 1, "GERMANY").otherwise(" ")))
+    return P.supplier_facts(rows).select("canonical_name", F.array_join("variants", "; ").alias("variants"), "n_items", F.array_join("names", ", ").alias("places"))
+
+
 @query(f"{C._LINES} SELECT supplier_id, count(DISTINCT l1 || '|' || l2 || '|' || l3) AS n_categories, count(*) FILTER (confidence < 0.6::DOUBLE) AS n_low FROM lines GROUP BY supplier_id")
 def classification_counts(spark, d):
     return taxonomy.classification_counts(_lines(spark, d), "supplier_id")
@@ -554,6 +575,21 @@ def table_ddl(spark, d):
     return spark.createDataFrame(rows, "name string, n_columns int")
 
 
+@query("SELECT * FROM (VALUES ('database', 'default', true), ('database', 'no_such_database', false), ('table', 'no_such_table', false)) AS t(kind, name, known)")
+def existence_checks(spark, d):
+    """Whether the catalog has a database or a table."""
+    c = spark.catalog
+    rows = [("database", "default", c.databaseExists("default")), ("database", "no_such_database", c.databaseExists("no_such_database")), ("table", "no_such_table", c.tableExists("no_such_table"))]
+    return spark.createDataFrame(rows, "kind string, name string, known boolean")
+
+
+@query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS stamp, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS instant, o_orderdate >= TIMESTAMP '1995-01-01 00:00:00' AS is_late FROM orders")
+def date_stamps(spark, d):
+    """Dates and times as the files have them, and a comparison with a time literal."""
+    at = F.col("o_orderdate")
+    return table(spark, d, "orders").select("o_orderkey", F.date_format(at, "yyyy-MM-dd").alias("stamp"), F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("instant"), (at >= F.to_timestamp(F.lit("1995-01-01 00:00:00"))).alias("is_late"))
+
+
 @query("SELECT r, s_suppkey, s_name FROM (SELECT *, CAST(row_number() OVER (ORDER BY s_name, s_suppkey) AS BIGINT) AS r FROM supplier) WHERE r <= 10")
 def ordered_preview(spark, d):
     """The start of a listing in name order."""

@@ -132,6 +132,17 @@ def located(lines: DataFrame, countries: DataFrame) -> DataFrame:
     return lines.filter(~F.lower(F.trim("supplier_name")).isin("", "nan")).join(lookup, "supplier_number", "left")
 
 
+def renamed(rows: DataFrame, names: DataFrame) -> DataFrame:
+    """rows with canonical_name: that of names(supplier_name, canonical_name), or their own."""
+    return rows.join(names, "supplier_name", "left").withColumn("canonical_name", F.coalesce("canonical_name", "supplier_name"))
+
+
+def supplier_facts(rows: DataFrame) -> DataFrame:
+    """Per canonical name of rows(canonical_name, supplier_name, place): variants, lines, countries and their codes, as sorted sets."""
+    every = lambda c, name: F.array_sort(F.collect_set(c)).alias(name)
+    return rows.groupBy("canonical_name").agg(every("supplier_name", "variants"), F.count(F.lit(1)).alias("n_items"), every("place.name", "names"), every("place.code", "codes"))
+
+
 def refresh_master(lines: DataFrame, countries: DataFrame, categories: DataFrame, master: DataFrame, threshold: float = clusters.THRESHOLD, least_rate: float = 0.5, today=None, confirm=models.same_company, classifier=models.first_candidate, reviewer=models.shared_words) -> DataFrame:
     """The master file after purchase lines: known suppliers merged, new ones classified, in name order.
 
@@ -144,11 +155,8 @@ def refresh_master(lines: DataFrame, countries: DataFrame, categories: DataFrame
     good = located(lines, countries)
     found = kept(clusters.leader_clusters(good, "supplier_name", threshold=threshold), "refresh-clusters")
     named = models.confirm_clusters(found, clusters.confirm(found), confirm).withColumnRenamed("name", "supplier_name")
-    rows = good.join(named, "supplier_name", "left").withColumn("canonical_name", F.coalesce("canonical_name", "supplier_name"))
-    rows = kept(rows.withColumn("place", normalize_country(F.col("country"))), "refresh-rows")
-    facts = rows.groupBy("canonical_name").agg(
-        F.array_sort(F.collect_set("supplier_name")).alias("variants"), F.count(F.lit(1)).alias("n_items"), F.array_sort(F.collect_set(F.col("place.name"))).alias("names"), F.array_sort(F.collect_set(F.col("place.code"))).alias("codes"),
-    )
+    rows = kept(renamed(good, named).withColumn("place", normalize_country(F.col("country"))), "refresh-rows")
+    facts = supplier_facts(rows)
     existing = master.select(F.lower("Normalized_Supplier_Name").alias("_key"), "*")
     now = facts.withColumn("_key", F.lower("canonical_name"))
     both = existing.join(now, "_key", "left")
