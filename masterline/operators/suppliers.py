@@ -12,6 +12,15 @@ from masterline.operators.ids import format_id, max_id, row_numbers
 from masterline.operators.tables import keep_one
 
 
+def cleaned_forms(forms: DataFrame, raw: str, n: str, out: str, clean: Callable[[Column], Column] = T.clean_name) -> DataFrame:
+    """forms, grouped by raw with their number of rows in n, with the cleaned form in out.
+
+    It hangs on n, which is always positive, so that a filter on it stays above the grouping: else it would be
+    pushed below, and every row cleaned.
+    """
+    return forms.withColumn(out, F.when(F.col(n) > 0, clean(F.col(raw))))
+
+
 def aggregate_suppliers(rows: DataFrame, name: str = "supplier_name_normalized", clean: Callable[[Column], Column] | None = None) -> DataFrame:
     """Per name: sorted sets of raw forms, supplier ids and currencies, row count, and the sum of amounts.
 
@@ -19,7 +28,7 @@ def aggregate_suppliers(rows: DataFrame, name: str = "supplier_name_normalized",
     """
     forms = ["supplier_name_raw", "supplier_id", "currency", *([] if clean else [name])]
     sums = rows.groupBy(*forms).agg(F.count(F.lit(1)).alias("_n"), F.sum("amount").alias("_amount"))
-    named = sums.withColumn(name, clean(F.col("supplier_name_raw"))) if clean else sums
+    named = cleaned_forms(sums, "supplier_name_raw", "_n", name, clean) if clean else sums
     return named.groupBy(name).agg(
         F.array_sort(F.collect_set("supplier_name_raw")).alias("raw_names"),
         F.array_sort(F.collect_set("supplier_id")).alias("supplier_ids"),
@@ -33,7 +42,7 @@ def name_histogram(rows: DataFrame, raw: str, index: str, clean: Callable[[Colum
     """cleaned, best_original, n_forms, n_rows, first_index: raw forms are counted first, each is cleaned once, and
     they are ranked by count, earliest first. Blank forms, and those that cleaning empties, are left out."""
     forms = rows.filter(F.trim(F.coalesce(raw, F.lit(""))) != "").groupBy(raw).agg(F.count(F.lit(1)).alias("_n"), F.min(index).alias("_first"))
-    return forms.withColumn("cleaned", clean(F.col(raw))).filter("cleaned != ''").groupBy("cleaned").agg(
+    return cleaned_forms(forms, raw, "_n", "cleaned", clean).filter("cleaned != ''").groupBy("cleaned").agg(
         F.max_by(raw, F.struct(F.col("_n"), -F.col("_first"))).alias("best_original"),
         F.count(F.lit(1)).alias("n_forms"),
         F.sum("_n").alias("n_rows"),

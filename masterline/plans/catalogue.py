@@ -121,7 +121,7 @@ FROM names ORDER BY supplier_name
 """)
 def supplier_master(spark: SparkSession, d: str) -> DataFrame:
     forms = po_lines(spark, d).groupBy("supplier_name_raw").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount"), F.min("line_id").alias("first"))
-    names = forms.groupBy(T.clean_name(F.col("supplier_name_raw")).alias("supplier_name")).agg(F.sum("n").alias("n_lines"), F.count(F.lit(1)).alias("n_forms"), F.sum("amount").alias("total"), F.min("first").alias("first_line"))
+    names = suppliers.cleaned_forms(forms, "supplier_name_raw", "n", "supplier_name").groupBy("supplier_name").agg(F.sum("n").alias("n_lines"), F.count(F.lit(1)).alias("n_forms"), F.sum("amount").alias("total"), F.min("first").alias("first_line"))
     numbered = row_numbers(names, [F.col("first_line"), F.col("supplier_name")], "n")
     return numbered.select(format_id(F.col("n") + 10_000).alias("global_supplier_id"), "supplier_name", "n_lines", "n_forms", F.col("total").cast("double").alias("total_spend")).orderBy("supplier_name")
 
@@ -279,8 +279,8 @@ matched AS (SELECT name, first_line, coalesce(gid, 'G' || CAST((SELECT max(CAST(
 
 
 def _names(spark: SparkSession, d: str) -> DataFrame:
-    forms = po_lines(spark, d).groupBy("supplier_name_raw").agg(F.min("line_id").alias("first_line"))
-    return forms.groupBy(T.clean_name(F.col("supplier_name_raw")).alias("name")).agg(F.min("first_line").alias("first_line"))
+    forms = po_lines(spark, d).groupBy("supplier_name_raw").agg(F.count(F.lit(1)).alias("n"), F.min("line_id").alias("first_line"))
+    return suppliers.cleaned_forms(forms, "supplier_name_raw", "n", "name").groupBy("name").agg(F.min("first_line").alias("first_line"))
 
 
 def _seed_master(spark: SparkSession, d: str) -> DataFrame:
@@ -309,8 +309,8 @@ SELECT 'acme' AS client_id, supplier_id, gid AS global_supplier_id, 'exact_name_
 """)
 def crosswalk(spark, d):
     """Over ids of which a fifth each are null, blank, and longer than 100 characters."""
-    forms = po_lines(spark, d).groupBy("supplier_id", "supplier_name_raw").agg(F.min("line_id").alias("first_line"))
-    rows = forms.select(F.expr(_ODD_ID).alias("supplier_id"), T.clean_name(F.col("supplier_name_raw")).alias("name"), "first_line")
+    forms = po_lines(spark, d).groupBy("supplier_id", "supplier_name_raw").agg(F.count(F.lit(1)).alias("n"), F.min("line_id").alias("first_line"))
+    rows = suppliers.cleaned_forms(forms, "supplier_name_raw", "n", "name").select(F.expr(_ODD_ID).alias("supplier_id"), "name", "first_line")
     ids = suppliers.match_or_assign(_names(spark, d), _seed_master(spark, d), "name", [F.col("first_line"), F.col("name")])
     return suppliers.crosswalk(rows, ids, F.lit("acme"), "name", "first_line")
 

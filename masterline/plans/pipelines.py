@@ -54,7 +54,7 @@ def load_counts(rows: DataFrame, state: Mapping[str, DataFrame], clean=None) ->
     """
     keys = ["supplier_name_raw", *([] if clean else ["supplier_name_normalized"])]
     forms = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    forms = forms.withColumn("supplier_name_normalized", clean(F.col("supplier_name_raw"))) if clean else forms
+    forms = suppliers.cleaned_forms(forms, "supplier_name_raw", "_n", "supplier_name_normalized", clean) if clean else forms
     known = tables.flag_existing(forms.select("supplier_name_normalized").distinct(), state["supplier_master"], F.lower(F.trim("supplier_name_normalized")), F.lower(F.trim("normalized_supplier_name")))
     counts = known.agg(F.count(F.lit(1)).alias("unique_suppliers"), F.count_if(~F.col("is_existing")).alias("new_suppliers"), F.count_if("is_existing").alias("existing_suppliers"))
     return forms.agg(F.sum("_n").alias("rows_read"), F.countDistinct("supplier_name_raw").alias("raw_names")).join(F.broadcast(counts))

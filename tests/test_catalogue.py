@@ -48,7 +48,16 @@ def test_filters_and_columns_reach_the_scan(spark, sf):
     assert "l_comment" not in lineitem and "l_shipdate" not in lineitem and "IsNotNull(l_suppkey)" in lineitem
 
 
-@pytest.mark.parametrize(("name", "most"), [("entity_counts", 20), ("best_original", 25), ("supplier_aggregate", 13), ("supplier_master", 13)])
+@pytest.mark.parametrize(("name", "most"), [("best_original", 25), ("supplier_aggregate", 13), ("supplier_master", 13)])
 def test_names_are_cleaned_once_and_after_they_are_counted(spark, sf, name, most):
     plan = catalogue.QUERIES[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
     assert 0 < plan.lower().count("regexp_replace(") <= most
+    # nothing below the lowest grouping, whose inputs are joins of the tables, is cleaned
+    lines = plan.split("\n")
+    lowest = max(i for i, x in enumerate(lines) if "Aggregate [" in x)
+    assert not any("regexp_replace(" in x.lower() for x in lines[lowest + 1 :])
+
+
+def test_entity_rules_compute_tokens_once(spark, sf):
+    plan = catalogue.QUERIES["entity_counts"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.lower().count("regexp_replace(") <= 20
