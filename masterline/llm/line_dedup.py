@@ -66,9 +66,14 @@ class LineRuns:
         return [name for level in self.levels for name in level]
 
     def merged(self, names: list[str]) -> DataFrame:
-        """h1, h2, n, holder over several runs."""
-        rows = reduce(DataFrame.unionByName, map(self.spark.table, names))
-        return rows.groupBy(*KEY).agg(F.sum("n").alias("n"), F.max("holder").alias("holder"))
+        """h1, h2, n, holder over several runs, by merge joins."""
+
+        def merge(one: DataFrame, other: DataFrame) -> DataFrame:
+            both = one.join(other.withColumnsRenamed({"n": "_n", "holder": "_holder"}).hint("merge"), KEY, "full")
+            count = F.coalesce("n", F.lit(0).cast("long")) + F.coalesce("_n", F.lit(0).cast("long"))
+            return both.select(*KEY, count.alias("n"), F.greatest("holder", "_holder").alias("holder"))
+
+        return reduce(merge, map(self.spark.table, names))
 
     def add(self, docs: DataFrame, id_col: str, hashes_col: str) -> None:
         """Take in a batch of documents, given with the hashes of their lines; all ids below those of earlier batches."""

@@ -117,11 +117,10 @@ def test_line_runs_are_levelled_and_sorted(spark):
     assert "Exchange" not in join._jdf.queryExecution().executedPlan().toString()
     names = runs.tables()
     got = {(r["h1"], r["h2"]): r["holder"] for r in runs.repeated().collect()}
-    want = defaultdict(set)
+    want = defaultdict(list)
     for r in frame.collect():
-        for h in r["hashes"]:
-            if h is not None:
-                want[tuple(h)].add(r["id"])
+        for h in {tuple(h) for h in r["hashes"] if h is not None}:
+            want[h].append(r["id"])
     assert got == {h: max(ids) for h, ids in want.items() if len(ids) >= 3}
     assert not any(spark.catalog.tableExists(n) for n in names)
 
