@@ -11,11 +11,16 @@ from pyspark.sql import functions as F
 from masterline.functions import text as T
 from masterline.functions.udfs import name_similarity, similarity
 from masterline.operators.ids import batches
+from masterline.operators.leaders import cluster_numbers
+from masterline.operators.tables import lookup
+from masterline.sources.scratch import kept
 
 THRESHOLD = 0.65
 CONFIRMED = 0.85
-#: Names of a part; each pair of parts is one task's work where all names are compared.
-PART = 1_000
+#: Names of a range, over which the least leader of a group is taken by one task.
+PART = 50_000
+#: Names of a part of a cluster; each pair of parts is one task's work where all its names are compared.
+MEAN_PART = 500
 
 
 def token_jaccard(a: Column, b: Column) -> Column:
@@ -44,74 +49,46 @@ def lead(names: list[str], cleans: list[str], threshold: float = THRESHOLD) -> l
     return of
 
 
-def nearest_before(names: DataFrame, threshold: float = THRESHOLD, part: int = PART) -> DataFrame:
-    """name, nearest: the most similar names (several only if tied) before it among all names(name, clean).
+def leader_clusters(names: DataFrame, name: str, block: Column | None = None, threshold: float = THRESHOLD, part: int = PART) -> DataFrame:
+    """block, cluster, name: names sorted, each joins the cluster of its most similar predecessor in the block.
 
-    Names that have none as similar as threshold are left out. Every pair is compared, in some pair of parts.
+    The same clusters, numbered alike, as lead() gives block by block; without a block column all names are one. Only
+    pairs that can reach the threshold, 0.65 or more, are scored, and no task gets a block whole, see operators.leaders.
+    Null and blank names are left out.
     """
-    parts = max(1, -(-names.count() // part))
-    own = names.withColumn("own", F.pmod(F.xxhash64("name"), F.lit(parts)).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        rows = list(group.sort_values("name", kind="stable")[["name", "clean", "own"]].itertuples(index=False, name=None))
-        across, out = group["own"].nunique() > 1 or bool((group["own"] != group["other"]).any()), []
-        for i, (n, c, p) in enumerate(rows):
-            score, tied = 0.0, []
-            for m, d, q in rows[:i]:
-                if not across or p != q:
-                    s = similarity(n, m, c, d)
-                    if s > score:
-                        score, tied = s, [m]
-                    elif s == score:
-                        tied.append(m)
-            if tied and score >= threshold and score > 0:
-                out.append((n, score, tied))
-        return pd.DataFrame(out, columns=["name", "score", "tied"])
-
-    found = own.groupBy(F.least("own", "other"), F.greatest("own", "other")).applyInPandas(run, "name string, score double, tied array<string>")
-    best = found.groupBy("name").agg(F.max("score").alias("most"), F.collect_list(F.struct("score", "tied")).alias("all"))
-    return best.select("name", F.flatten(F.transform(F.filter("all", lambda x: x["score"] == F.col("most")), lambda x: x["tied"])).alias("nearest"))
+    of = F.lit("all") if block is None else block
+    return cluster_numbers(names.select(F.col(name).alias("name")).filter(T.strip(F.coalesce("name", F.lit(""))) != "").select(of.alias("block"), "name"), threshold, part)
 
 
-def leader_clusters(names: DataFrame, name: str, block: Column | None = None, threshold: float = THRESHOLD, part: int = PART) -> DataFrame:
-    """block, cluster, name: names sorted, each joins the cluster of its most similar predecessor in the block.
+def mean_similarities(clusters: DataFrame, part: int = MEAN_PART) -> DataFrame:
+    """block, cluster, mean_similarity of all pairs of clusters(block, cluster, name) with two names or more.
 
-    A block is one task's work. Without a block column all names, however many, are one block, and are compared
-    in pairs of parts; only the numbering, which depends on the order and is linear, is one task's work.
+    A cluster is dealt into parts of about `part` names, each two of which meet in a task that hands on a sum.
     """
-    distinct = names.select(F.col(name).alias("name")).filter(T.strip(F.coalesce("name", F.lit(""))) != "").distinct()
-    if block is None:
-        nearest = nearest_before(distinct.select("name", T.comparison_name(F.col("name")).alias("clean")), threshold, part)
-
-        def number(group: pd.DataFrame) -> pd.DataFrame:
-            group, of, n = group.sort_values("name", kind="stable"), {}, 0
-            for own, near in zip(group["name"], group["nearest"], strict=True):
-                if near is None:
-                    of[own], n = n, n + 1
-                else:
-                    of[own] = min(of[m] for m in near)
-            group["cluster"] = [of[x] for x in group["name"]]
-            return group[["block", "cluster", "name"]]
-
-        joined = distinct.join(nearest, "name", "left").withColumn("block", F.lit("all"))
-        return joined.groupBy("block").applyInPandas(number, "block string, cluster int, name string")
+    sizes = clusters.groupBy("block", "cluster").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    sizes = sizes.select(F.struct("block", "cluster").alias("_key"), F.ceil(F.col("_n") / part).cast("int").alias("_parts"))
+    dealt = lookup(clusters.select(F.struct("block", "cluster").alias("_key"), "name", T.comparison_name(F.col("name")).alias("clean")), "_key", sizes).filter("_parts IS NOT NULL")
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("name"), "_parts").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+    kind = clusters.select("block", "cluster").schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("name", kind="stable")
-        group["cluster"] = lead(group["name"].tolist(), group["clean"].tolist(), threshold)
-        return group[["block", "cluster", "name"]]
+        rows = list(group[["name", "clean", "own"]].itertuples(index=False, name=None))
+        across = bool((group["own"] != group["other"]).any())
+        scores = [similarity(a, b, c, d) for i, (a, c, p) in enumerate(rows) for b, d, q in rows[i + 1 :] if not across or p != q]
+        key = group["_key"].iloc[0]
+        return pd.DataFrame([(key["block"], key["cluster"], sum(scores), len(scores))], columns=["block", "cluster", "total", "pairs"])
 
-    keyed = distinct.select("name", block.alias("block"), T.comparison_name(F.col("name")).alias("clean"))
-    return keyed.groupBy("block").applyInPandas(run, "block string, cluster int, name string")
+    sums = dealt.groupBy("_key", F.least("own", "other"), F.greatest("own", "other")).applyInPandas(run, f"{kind}, total double, pairs long")
+    return sums.groupBy("block", "cluster").agg((F.sum("total") / F.sum("pairs")).alias("mean_similarity"))
 
 
 def confirm(clusters: DataFrame, confirmed: float = CONFIRMED) -> DataFrame:
     """block, cluster, n_names, mean_similarity, status: singleton, confirmed or ambiguous."""
-    c = clusters.withColumn("key", F.concat_ws("#", "block", F.col("cluster").cast("string")))
-    sizes = c.groupBy("block", "cluster", "key").agg(F.count(F.lit(1)).alias("n_names"))
-    means = pair_scores(c, "name", F.col("key")).groupBy(F.col("block").alias("key")).agg(F.avg("similarity").alias("mean_similarity"))
+    clusters = kept(clusters.select("block", "cluster", "name"), "clusters")
+    sizes = clusters.groupBy("block", "cluster").agg(F.count(F.lit(1)).alias("n_names"))
     status = F.when(F.col("n_names") == 1, "singleton").when(F.col("mean_similarity") >= confirmed, "confirmed").otherwise("ambiguous")
-    return sizes.join(means, "key", "left").withColumn("status", status).drop("key")
+    return sizes.join(mean_similarities(clusters), ["block", "cluster"], "left").withColumn("status", status)
 
 
 def canonical_names(clusters: DataFrame, keys: list[str], name: str = "name") -> DataFrame:

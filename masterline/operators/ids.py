@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 
 from masterline.sources.scratch import kept
 
-ROWS_PER_RANGE = 1_000_000
+ROWS_PER_RANGE = 50_000
 
 
 def row_numbers(df: DataFrame, order: list[Column], out: str = "row_number") -> DataFrame:
-    """df with 1, 2, ... in order: rows are dealt into ranges, written, numbered there, and shifted by the ranges before.
+    """df with 1, 2, ... in order: rows are written, dealt into ranges, written, numbered there, and shifted by the ranges before.
 
     order must tell all rows apart for the numbers to be reproducible. Up to ROWS_PER_RANGE rows are one range.
     """
+    df = kept(df, "rows")
     ranges = max(1, -(-df.count() // ROWS_PER_RANGE))
     if ranges == 1:
         return df.withColumn(out, F.row_number().over(Window.orderBy(*order)).cast("long"))

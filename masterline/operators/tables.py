@@ -7,6 +7,10 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from masterline.sources.scratch import kept
+
+#: Rows up to which a table that is looked up is broadcast whole.
+BROADCAST_ROWS = 100_000
 
 def keep_one(df: DataFrame, keys: list[str], order: Column, last: bool = False) -> DataFrame:
     """The first (or last) row of each key by order; reduced before the shuffle."""
@@ -52,6 +56,23 @@ def flag_existing(df: DataFrame, other: DataFrame, key: Column, other_key: Colum
     return df.withColumn("_key", key).join(known, "_key", "left").withColumn(out, F.coalesce("_known", F.lit(False))).drop("_key", "_known")
 
 
+def lookup(df: DataFrame, key: str, table: DataFrame, most: int = 10_000, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """df left-joined with table, which has a row per key at most; rows with a null key find nothing.
+
+    A table of broadcast_rows rows at most is broadcast. Of a larger one, the keys that hold at least 1/most of the
+    rows of df, so at most that many, are broadcast, and all others shuffled. However often a key comes, no task gets
+    all its rows.
+    """
+    if table.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        return df.join(F.broadcast(table), key, "left")
+    counts = kept(df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")), "counts")
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    hot = F.broadcast(counts.filter((F.col("_n") * most >= total) & F.col(key).isNotNull()).select(key))
+    often = table.join(hot, key)
+    rest = df.join(hot, key, "left_anti").join(table, key, "left")
+    return df.join(hot, key, "left_semi").join(F.broadcast(often), key, "left").unionByName(rest)
+
+
 def violations(tables: Mapping[str, DataFrame], keys: Mapping[str, list[str]], not_null: Mapping[str, list[str]], foreign: list[tuple[str, str, str, str]]) -> DataFrame:
     """constraint, target, n of every broken rule: keys, not-null columns, and (table, column, parent, column) references."""
     found = []

@@ -2,44 +2,72 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from masterline.functions import text as T
+from masterline.operators.tables import lookup
+from masterline.sources.scratch import kept
 
 CANDIDATES = 25
-#: Category paths that are broadcast as one array; more are scored in blocks of about that many.
-MOST_CATEGORIES = 50_000
+
+def _grams(token: Column) -> Column:
+    """The distinct trigrams of a token of three letters or more."""
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(token) - 2), lambda i: F.substring(token, i, F.lit(3))))
+
+
+def contained(inner: DataFrame, outer: DataFrame) -> DataFrame:
+    """inner, outer: pairs of different tokens of the tables inner(token) and outer(token), the former inside the latter.
+
+    The trigrams of outer's tokens are posting lists; a token of inner probes the shortest list of its own trigrams, or
+    none if one of them has no list, and only what stands there is compared.
+    """
+    lists = kept(outer.select(F.col("token").alias("outer"), F.explode(_grams(F.col("token"))).alias("gram")), "postings")
+    sizes = lists.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    probes = lookup(inner.select("token", F.explode(_grams(F.col("token"))).alias("gram")), "gram", sizes)
+    rarest = probes.groupBy(F.col("token").alias("inner")).agg(F.min(F.struct("n", "gram"))["gram"].alias("gram"), F.count_if(F.col("n").isNull()).alias("_lost")).filter("_lost = 0")
+    return rarest.join(lists, "gram").filter((F.col("inner") != F.col("outer")) & F.col("outer").contains(F.col("inner"))).select("inner", "outer")
+
+
+def token_hits(asked: DataFrame, known: DataFrame) -> DataFrame:
+    """asked, known, weight of the tokens that score together: 1.5 if equal, 0.5 if one contains the other."""
+    equal = asked.join(known, "token").select(F.col("token").alias("asked"), F.col("token").alias("known"), F.lit(1.5).alias("weight"))
+    inside = contained(asked, known).select(F.col("inner").alias("asked"), F.col("outer").alias("known"), F.lit(0.5).alias("weight"))
+    around = contained(known, asked).select(F.col("outer").alias("asked"), F.col("inner").alias("known"), F.lit(0.5).alias("weight"))
+    return equal.unionByName(inside).unionByName(around)
 
 
-def top_categories(descriptions: DataFrame, description: str, taxonomy: DataFrame, k: int = CANDIDATES, most: int = MOST_CATEGORIES) -> DataFrame:
+def top_categories(descriptions: DataFrame, description: str, taxonomy: DataFrame, k: int = CANDIDATES) -> DataFrame:
     """description, l1, l2, l3, score, rank: the k best categories of each distinct description, ties by path.
 
-    The distinct paths, up to `most`, are one array beside each description, so a description's categories are
-    scored and cut to k inside its row, and nothing is shuffled but the distinct descriptions. More paths are
-    dealt into blocks, and the k best of each block are merged.
+    Scores are those of functions.text.overlap_score, summed over an inverted index: tokens of descriptions and of
+    categories that score together are found once for each two tokens; the tokens of a description that score at all
+    are its signature; the categories under each signature's tokens are added up and cut to k, and descriptions look
+    up what their signature has. Where fewer than k categories score, the first others by path follow with 0.
     """
     paths = taxonomy.select("l1", "l2", "l3").distinct()
-    blocks = max(1, -(-paths.count() // most))
-    paths = paths.withColumn("tokens", T.word_tokens(F.concat_ws(" ", F.coalesce("l1", F.lit("")), F.coalesce("l2", F.lit("")), F.coalesce("l3", F.lit("")))))
-    distinct = descriptions.select(F.col(description).alias("description")).filter("description IS NOT NULL").distinct().withColumn("_one", F.lit(1))
-
-    def best_of(part: DataFrame) -> DataFrame:
-        whole = part.agg(F.collect_list(F.struct("l1", "l2", "l3", "tokens")).alias("_all")).withColumn("_one", F.lit(1))
-        beside = distinct.join(F.broadcast(whole), "_one").withColumn("_d", T.word_tokens(F.col("description")))
-        scored = F.transform("_all", lambda c: F.struct((-T.overlap_score(F.col("_d"), c["tokens"])).alias("s"), c["l1"].alias("l1"), c["l2"].alias("l2"), c["l3"].alias("l3")))
-        return beside.select("description", F.slice(F.array_sort(scored), 1, k).alias("_best"))
-
-    if blocks == 1:
-        found = best_of(paths)
-    else:
-        block = F.pmod(F.xxhash64("l1", "l2", "l3"), F.lit(blocks))
-        every = reduce(DataFrame.unionByName, (best_of(paths.filter(block == i)) for i in range(blocks)))
-        found = every.groupBy("description").agg(F.slice(F.array_sort(F.flatten(F.collect_list("_best"))), 1, k).alias("_best"))
-    best = found.select("description", F.posexplode("_best").alias("_pos", "c"))
-    return best.select("description", "c.l1", "c.l2", "c.l3", (-F.col("c.s")).alias("score"), (F.col("_pos") + 1).alias("rank"))
+    words = lambda c: F.filter(T.word_tokens(c), lambda t: F.length(t) > 2)
+    path = F.struct("l1", "l2", "l3")
+    listed = kept(paths.select(path.alias("path"), F.explode(words(F.concat_ws(" ", *(F.coalesce(c, F.lit("")) for c in ("l1", "l2", "l3"))))).alias("known")), "categories")
+    distinct = kept(descriptions.select(F.col(description).alias("description")).filter("description IS NOT NULL").distinct(), "descriptions")
+    asked = kept(distinct.select("description", F.explode(words(F.col("description"))).alias("asked")), "asked")
+    hits = kept(token_hits(asked.select(F.col("asked").alias("token")).distinct(), listed.select(F.col("known").alias("token")).distinct()), "hits")
+    scoring = lookup(asked, "asked", hits.select("asked").distinct().withColumn("_hit", F.lit(True))).filter("_hit")
+    signed = distinct.join(scoring.groupBy("description").agg(F.array_sort(F.collect_set("asked")).alias("signature")), "description", "left")
+    signed = kept(signed.withColumn("signature", F.coalesce("signature", F.array().cast("array<string>"))), "signed")
+    signatures = signed.select("signature").distinct()
+    scored = signatures.select("signature", F.explode("signature").alias("asked")).join(hits, "asked").join(listed, "known").groupBy("signature", "path").agg(F.sum("weight").alias("score"))
+    best = Window.partitionBy("signature").orderBy(F.desc("score"), "path")
+    top = kept(scored.withColumn("_n", F.row_number().over(best)).filter(F.col("_n") <= k).drop("_n"), "scored")
+    arrays = top.groupBy("signature").agg(F.collect_list(F.struct((-F.col("score")).alias("s"), "path.l1", "path.l2", "path.l3")).alias("_top"))
+    first = [r["path"] for r in paths.select(path.alias("path")).orderBy("path").limit(k).collect()]
+    entry = "struct<s:double,l1:string,l2:string,l3:string>"
+    others = F.array(*(F.struct(F.lit(0.0), *(F.lit(x).cast("string") for x in p)).cast(entry) for p in first)).cast(f"array<{entry}>")
+    found = lookup(signed, "signature", arrays).withColumn("_top", F.coalesce("_top", F.array().cast(f"array<{entry}>")))
+    scored_paths = F.transform("_top", lambda c: F.struct(c["l1"], c["l2"], c["l3"]))
+    more = F.filter(others, lambda c: ~F.exists(scored_paths, lambda x: x.eqNullSafe(F.struct(c["l1"], c["l2"], c["l3"]))))
+    ranked = found.select("description", F.posexplode(F.slice(F.array_sort(F.concat("_top", more)), 1, k)).alias("_pos", "c"))
+    return ranked.select("description", "c.l1", "c.l2", "c.l3", (0.0 - F.col("c.s")).alias("score"), (F.col("_pos") + 1).alias("rank"))
 
 
 def category_groups(lines: DataFrame, supplier: str, limit: int = 5) -> DataFrame:

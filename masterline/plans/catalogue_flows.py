@@ -4,6 +4,8 @@ the form that an operator reads or writes, and come back through it. Each has it
 from __future__ import annotations
 
 import json
+import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +14,7 @@ from masterline.functions import text as T
 from masterline.functions import wordlists as W
 from masterline.functions.entity import classify_entity
 from masterline.functions.udfs import is_abbreviation, name_similarity, packed, repair_json, sequence_ratio, unpacked, vector_literal
-from masterline.operators import clusters, columns, models, suppliers, tables, taxonomy, vectors
+from masterline.operators import clusters, columns, models, suppliers, tables, taxonomy, vector_index, vectors
 from masterline.operators.columns import conform
 from masterline.plans import catalogue as C
 from masterline.plans import pipelines as P
@@ -127,11 +129,13 @@ def uploads_scan(spark, d):
 @query("SELECT r_regionkey, r_name, upper(r_name) AS title, CAST(r_regionkey * 10 AS BIGINT) AS per_minute FROM region")
 def config_scan(spark, d):
     """A JSON configuration file through Spark's readers."""
-    settings = {r["r_name"]: {"key": r["r_regionkey"], "per_minute": r["r_regionkey"] * 10} for r in table(spark, d, "region").collect()}
+    region = table(spark, d, "region")
+    entry = F.struct(F.col("r_name").alias("key"), F.struct((F.col("r_regionkey") * 10).alias("per_minute")).alias("value"))
     path = scratch_path(spark, "config")
-    spark.createDataFrame([(json.dumps(settings, indent=1),)], "value string").coalesce(1).write.text(path)
+    region.agg(F.to_json(F.map_from_entries(F.collect_list(entry))).alias("value")).coalesce(1).write.text(path)
     config = files.read_config(spark, path)
-    return spark.createDataFrame([(v["key"], k, k.upper(), v["per_minute"]) for k, v in config.items()], "r_regionkey int, r_name string, title string, per_minute long")
+    per_minute = F.create_map(*(F.lit(x) for k, v in config.items() for x in (k, v["per_minute"])))
+    return region.select(F.col("r_regionkey").cast("int").alias("r_regionkey"), "r_name", F.upper("r_name").alias("title"), F.get(F.map_values(F.map_filter(per_minute, lambda k, _: k == F.col("r_name"))), F.lit(0)).cast("long").alias("per_minute"))
 
 
 @query("SELECT 'master' AS name, count(*) AS n FROM supplier WHERE s_suppkey % 3 = 0 UNION ALL SELECT 'nothing yet', 0")
@@ -566,21 +570,47 @@ def vector_literals(spark, d):
 # tables
 
 
-@query(f"SELECT * FROM (VALUES {', '.join(f'({chr(39)}{t}{chr(39)}, {len(c.split(chr(44) + chr(32)))})' for t, c in ((t, c.replace('decimal(18,4)', 'decimal').replace('map<string,string>', 'map')) for t, c in TABLES.items()))}) AS t(name, n_columns)")
-def table_ddl(spark, d):
-    """Every logical table as its CREATE TABLE names it: its columns, counted in the statement."""
-    from masterline.sources.database import create_statement
-
-    rows = [(t, sum(part.count('" ') for part in create_statement(t).split(" (", 1)[1].split(", ") if part.startswith('"'))) for t in TABLES]
-    return spark.createDataFrame(rows, "name string, n_columns int")
+_COLUMNS = {t: len(c.replace("decimal(18,4)", "decimal").replace("map<string,string>", "map").split(", ")) for t, c in TABLES.items()}
 
 
-@query("SELECT * FROM (VALUES ('database', 'default', true), ('database', 'no_such_database', false), ('table', 'no_such_table', false)) AS t(kind, name, known)")
+@query(f"SELECT t.name, t.n_columns, CASE t.name WHEN 'supplier_master' THEN (SELECT count(*) FROM supplier) WHEN 'client_master' THEN (SELECT count(*) FROM customer) ELSE 0 END AS n_rows FROM (VALUES {', '.join(f'({chr(39)}{t}{chr(39)}, {n})' for t, n in _COLUMNS.items())}) AS t(name, n_columns)")
+def table_ddl(spark, d):
+    """Every logical table created in a database, two of them filled: columns and rows as the catalog has them."""
+    from masterline.sources.database import create_tables
+
+    database = f"masterline_{uuid.uuid4().hex}"
+    at = F.current_timestamp()
+    rows = {
+        "supplier_master": table(spark, d, "supplier").select(F.concat(F.lit("G"), "s_suppkey"), "s_name", at),
+        "client_master": table(spark, d, "customer").select(F.col("c_custkey").cast("string"), "c_name", "c_mktsegment", at),
+    }
+    create_tables(spark, database)
+    try:
+        for name, df in rows.items():
+            df.write.insertInto(f"{database}.{name}")
+        made = [spark.table(f"{database}.{t}") for t in TABLES]
+        counts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(t).alias("name"), F.lit(len(df.columns)).alias("n_columns"), "n_rows") for t, df in zip(TABLES, made, strict=True)]
+        return kept(reduce(DataFrame.unionByName, counts), "ddl")
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+@query("SELECT 'database' AS kind, 'no_such_database' AS name, false AS known UNION ALL SELECT 'table', r_name, r_regionkey < 2 FROM region UNION ALL SELECT 'nation', n_name, n_nationkey IN (SELECT s_nationkey FROM supplier) FROM nation")
 def existence_checks(spark, d):
-    """Whether the catalog has a database or a table."""
-    c = spark.catalog
-    rows = [("database", "default", c.databaseExists("default")), ("database", "no_such_database", c.databaseExists("no_such_database")), ("table", "no_such_table", c.tableExists("no_such_table"))]
-    return spark.createDataFrame(rows, "kind string, name string, known boolean")
+    """Whether the catalog has a database or a table, and whether a table has a row for a key."""
+    region = table(spark, d, "region")
+    prefix = f"masterline_{uuid.uuid4().hex}_"
+    names = [r["r_name"] for r in region.select("r_name").distinct().collect()]
+    made = [r["r_name"] for r in region.filter("r_regionkey < 2").collect()]
+    for name in made:
+        region.createOrReplaceTempView(f"`{prefix}{name}`")
+    found = F.array(*(F.lit(n) for n in names if spark.catalog.tableExists(f"`{prefix}{n}`")))
+    for name in made:
+        spark.catalog.dropTempView(f"{prefix}{name}")
+    in_catalog = region.select(F.lit("table").alias("kind"), F.col("r_name").alias("name"), F.array_contains(found, F.col("r_name")).alias("known"))
+    database = region.limit(1).select(F.lit("database").alias("kind"), F.lit("no_such_database").alias("name"), F.lit(spark.catalog.databaseExists("no_such_database")).alias("known"))
+    rows = tables.flag_existing(table(spark, d, "nation"), table(spark, d, "supplier"), F.col("n_nationkey"), F.col("s_nationkey"), "known")
+    return database.unionByName(in_catalog).unionByName(rows.select(F.lit("nation").alias("kind"), F.col("n_name").alias("name"), "known"))
 
 
 @query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS stamp, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS instant, o_orderdate >= TIMESTAMP '1995-01-01 00:00:00' AS is_late FROM orders")
@@ -608,3 +638,50 @@ def master_refresh(spark, d):
     cats = table(spark, d, "part").select(F.col("p_brand").alias("l1"), F.substring_index("p_type", " ", 1).alias("l2"), F.col("p_type").alias("l3")).distinct()
     old = spark.createDataFrame([("Brand#11", "Brand#11", *[""] * 11, 5, "", "", "2024-01-01")], MASTER_FILE)
     return P.refresh_master(lines, countries, cats, old, today=F.lit("2026-01-01").cast("date"))
+
+
+@query("SELECT p_partkey AS k, p_name AS name, row_number() OVER (ORDER BY p_partkey) - 1 AS row_index FROM part")
+def file_ordinals(spark, d):
+    """Rows of many delimited files numbered in file order, whatever their splits."""
+    part = table(spark, d, "part").select(F.col("p_partkey").alias("k"), F.col("p_name").alias("name"))
+    files_ = part.repartitionByRange(7, "k").sortWithinPartitions("k")
+    rows = files.file_ordinals(files.read_csv(spark, written(files_, "ordinals"), multiline=False))
+    return rows.select(F.col("k").cast("long").alias("k"), "name", "row_index")
+
+
+@query("SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'F' THEN 'again' ELSE o_orderpriority END AS priority FROM orders WHERE o_orderstatus <> 'P' AND (o_orderstatus <> 'F' OR o_orderkey % 2 = 0)")
+def partition_replace(spark, d):
+    """An upload replaced in place, and another left without rows: only their partitions are rewritten."""
+    orders = table(spark, d, "orders").select("o_orderkey", F.col("o_orderpriority").alias("priority"), "o_orderstatus")
+    path = scratch_path(spark, "partitions")
+    files.replace_partitions(orders, path, ["o_orderstatus"])
+    again = orders.filter("o_orderstatus = 'F' AND o_orderkey % 2 = 0").withColumn("priority", F.lit("again"))
+    files.replace_partitions(again, path, ["o_orderstatus"], emptied=[("P",)])
+    return spark.read.parquet(path).select("o_orderkey", "o_orderstatus", "priority")
+
+
+_NEAREST = """
+WITH found AS (SELECT q.vec_id AS query, e.vec_id AS key, 1 - list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]) AS distance FROM embeddings q, embeddings e WHERE q.vec_id % 50 = 0)
+SELECT query, key, round(distance, 6) AS distance, CAST(rank AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY distance, key) AS rank FROM found) WHERE rank <= 5"""
+
+
+def _vector_index(spark: SparkSession, d: str, lists: int) -> tuple[str, DataFrame, DataFrame]:
+    rows, path = table(spark, d, "embeddings").select("vec_id", "embedding"), scratch_path(spark, "vector-index")
+    vector_index.build_index(rows, path, lists, "vec_id")
+    return path, rows, rows.filter("vec_id % 50 = 0")
+
+
+@query(_NEAREST)
+def vector_index_search(spark, d):
+    """The nearest five of a query set in an inverted file, with all its lists probed: the exact answer."""
+    path, _, asked = _vector_index(spark, d, 16)
+    return vector_index.search_many(spark, path, asked, 5, 16, "vec_id", "vec_id").withColumn("distance", F.round("distance", 6))
+
+
+@query()
+def vector_index_recall(spark, d):
+    """How many of the exact nearest five of each of a query set 12 of 16 probed lists find."""
+    path, _, asked = _vector_index(spark, d, 16)
+    near = lambda probes: vector_index.search_many(spark, path, asked, 5, probes, "vec_id", "vec_id").select("query", "key")
+    found = near(16).join(near(12).withColumn("_found", F.lit(1)), ["query", "key"], "left")
+    return found.groupBy("query").agg(F.count(F.lit(1)).alias("n_exact"), F.count("_found").alias("n_found"))

@@ -14,7 +14,7 @@ from masterline.operators import clusters, models, suppliers, tables, taxonomy
 from masterline.operators.columns import missing_columns, rename_by_map
 from masterline.operators.ids import format_id, id_number, max_id, row_numbers
 from masterline.plans.schemas import MASTER_FILE, TABLES
-from masterline.sources.files import read_bulk
+from masterline.sources.files import file_ordinals, read_bulk
 from masterline.sources.scratch import kept
 
 
@@ -97,8 +97,8 @@ def staged_upload(df: DataFrame, mapping: Mapping[str, str], required: list[str]
     An upload replaces the rows it wrote before; canonical ids go on from those in state["suppliers"], in
     order of first appearance.
     """
-    renamed = rename_by_map(df, mapping)
-    rows = renamed.withColumn("upload_id", F.coalesce("upload_id", F.lit(upload_id)) if "upload_id" in renamed.columns else F.lit(upload_id)).withColumn("row_index", F.monotonically_increasing_id())
+    renamed = rename_by_map(file_ordinals(df, "_row"), mapping)
+    rows = renamed.withColumn("upload_id", F.coalesce("upload_id", F.lit(upload_id)) if "upload_id" in renamed.columns else F.lit(upload_id)).withColumn("row_index", F.col("_row")).drop("_row")
     for c in ("amount", "quantity"):
         rows = rows.withColumn(c, T.parse_amount(F.col(c)) if c in renamed.columns else F.lit(None).cast("decimal(18,4)"))
     checked = rows.withColumn("missing", missing_columns([c for c in required if c in rows.columns])).withColumn("missing", F.concat("missing", F.array(*(F.lit(c) for c in required if c not in rows.columns)).cast("array<string>")))

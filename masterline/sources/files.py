@@ -6,13 +6,15 @@ import json
 import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from masterline.functions import wordlists as W
 from masterline.functions.text import clean_loaded, clean_name_lenient, clean_value, parse_amount, yes_no
 from masterline.operators.columns import find_column, name_like_column, named_column, quoted
-from masterline.operators.tables import keep_one
+from masterline.operators.tables import keep_one, lookup
+from masterline.sources.scratch import kept
 
 LOG_SCHEMA = "run_id string, stage string, status string, row_count long, error_message string, timestamp timestamp"
 POINTER = "at long, version string"
@@ -40,11 +42,34 @@ def read_word_list(spark: SparkSession, path: str) -> list[str]:
     return sorted({r["value"].strip().lower() for r in spark.read.text(path).collect()} - {""})
 
 
+def file_ordinals(df: DataFrame, out: str = "row_index") -> DataFrame:
+    """df, as a reader of files gives it, with 0, 1, ... in order of file path and of rows inside each file.
+
+    A task counts the rows of each of its splits; a split's rows go on from the counts of the splits before it, by path
+    and start, so numbers don't depend on how files are split or dealt to tasks. Rows themselves are not moved. What
+    isn't read from files, or has been shuffled since, is numbered by partition, with gaps.
+    """
+    by_partition = df.withColumn(out, F.monotonically_increasing_id())
+    try:
+        rows = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"))
+    except AnalysisException:
+        return by_partition
+    splits = kept(rows.groupBy("_file", "_block").agg(F.min("_at").alias("_first"), F.max("_at").alias("_last"), F.count(F.lit(1)).alias("_n")), "splits")
+    if splits.filter("_last - _first >= _n").limit(1).count():
+        return by_partition
+    before = lambda *by, order: F.coalesce(F.sum("_n").over(Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    files = splits.groupBy("_file").agg(F.sum("_n").alias("_n")).select("_file", before(order="_file").alias("_files"))
+    starts = splits.select("_file", "_block", "_first", before("_file", order="_block").alias("_splits")).join(files, "_file")
+    key = F.struct("_file", "_block")
+    placed = lookup(rows.withColumn("_key", key), "_key", starts.select(key.alias("_key"), (F.col("_files") + F.col("_splits") - F.col("_first")).alias("_shift")))
+    return placed.withColumn(out, F.col("_at") + F.col("_shift")).select(*(quoted(c) for c in df.columns), out)
+
+
 def read_names(spark: SparkSession, path: str, column: str | None = None, index: int | None = None, encoding: str = "UTF-8") -> DataFrame:
     """The column of names (by name, place, or the header that looks like one) as row_index, name; short rows are ''."""
     df = read_csv(spark, path, encoding)
     c = df.columns[index] if index is not None else named_column(df.columns, column) if column else name_like_column(df.columns)
-    return df.select(F.monotonically_increasing_id().alias("row_index"), F.coalesce(quoted(c), F.lit("")).alias("name"))
+    return file_ordinals(df, "_row").select(F.col("_row").alias("row_index"), F.coalesce(quoted(c), F.lit("")).alias("name"))
 
 
 def read_transactions(df: DataFrame, name_column: str | None = None, id_column: str | None = None) -> DataFrame:
@@ -57,8 +82,8 @@ def read_transactions(df: DataFrame, name_column: str | None = None, id_column:
     if name is None:
         raise ValueError(f"no supplier name among {df.columns}")
     of = lambda candidates, c=None: clean_value(quoted(f)) if (f := c or find_column(df.columns, candidates)) else F.lit(None).cast("string")
-    rows = df.select(
-        F.monotonically_increasing_id().alias("row_index"),
+    rows = file_ordinals(df, "_row").select(
+        F.col("_row").alias("row_index"),
         of((), name).alias("supplier_name_raw"),
         of(W.SUPPLIER_ID_COLUMNS, id_column).alias("supplier_id"),
         parse_amount(F.replace(of(W.AMOUNT_COLUMNS), F.lit(","), F.lit(""))).alias("amount"),
@@ -76,7 +101,7 @@ def read_bulk(df: DataFrame) -> tuple[DataFrame, DataFrame]:
         "LI": "l1_category", "L2": "l2_category", "L3": "l3_category", "Product_Service_Tags": "product_service_tags", "Ship_To_Countries": "ship_to_countries", "Country_Codes": "country_codes",
     }
     columns = [clean_loaded(quoted(a) if a in df.columns else F.lit(None)).alias(b) for a, b in rename.items()]
-    rows = df.select(F.monotonically_increasing_id().alias("row_index"), clean_value(quoted("client #")).alias("client_id"), *columns).filter("normalized_supplier_name IS NOT NULL")
+    rows = file_ordinals(df, "_row").select(F.col("_row").alias("row_index"), clean_value(quoted("client #")).alias("client_id"), *columns).filter("normalized_supplier_name IS NOT NULL")
     clients = rows.select("client_id").filter("client_id IS NOT NULL").distinct()
     return clients, keep_one(rows.drop("client_id"), ["normalized_supplier_name"], F.col("row_index"))
 
@@ -111,6 +136,20 @@ def export_tables(tables: dict[str, DataFrame], root: str) -> None:
         write_csv(df, f"{root}/{name}")
 
 
+def replace_partitions(new: DataFrame, path: str, keys: list[str], emptied: list[tuple] = ()) -> None:
+    """Put new in place of the partitions, by keys, that it has rows for; all other files of the table at path stay.
+
+    emptied: further partitions, as values of keys, that lose their rows: an upload that has none left. A partition's
+    files appear together when the job ends, so one that is run again leaves the same. new must not read from path.
+    """
+    new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+    spark = new.sparkSession
+    for values in emptied:
+        escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+        at = spark._jvm.org.apache.hadoop.fs.Path("/".join([path.rstrip("/"), *(escape(k, None if v is None else str(v)) for k, v in zip(keys, values, strict=True))]))
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def publish(tables: dict[str, DataFrame], root: str) -> str:
     """Write all tables under a new version of root, then add a pointer to it: readers see all of a version or none.
 

@@ -2,6 +2,7 @@
 
 import io
 import json
+import sqlite3
 
 import pytest
 from pyspark.sql import functions as F
@@ -135,3 +136,87 @@ def test_a_scope_deletes_what_was_written_inside(spark):
     for df in (gone, middle):
         with pytest.raises(Exception):  # noqa: B017, PT011
             df.count()
+
+
+def test_ordinals_follow_files_whatever_the_splits(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    rows = {"b.csv": 400, "a.csv": 3, "c.csv": 150, "empty.csv": 0}
+    for name, n in rows.items():
+        (tmp_path / "in" / name).write_text("k,Supplier\n" + "".join(f"{name}{i:05},x{i % 7}\n" for i in range(n)))
+    want = [f"{name}{i:05}" for name in sorted(rows) for i in range(rows[name])]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("128m", "900", "200"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            df = files.read_csv(spark, f"file://{tmp_path}/in", multiline=False)
+            got = {r["k"]: r["row_index"] for r in files.file_ordinals(df).collect()}
+            assert got == {k: i for i, k in enumerate(want)}
+            names = files.read_names(spark, f"file://{tmp_path}/in", "k")
+            assert [r["name"] for r in names.orderBy("row_index").collect()] == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    shuffled = files.read_csv(spark, f"file://{tmp_path}/in", multiline=False).repartition(3)
+    assert shuffled.count() == files.file_ordinals(shuffled).select("row_index").distinct().count()
+    plain = spark.createDataFrame([("a",)], "k string")
+    assert files.file_ordinals(plain).columns == ["k", "row_index"]
+
+
+def test_partitions_are_replaced_in_place(spark, tmp_path):
+    path = f"file://{tmp_path}/t"
+    first = spark.createDataFrame([(u, i, u) for u in ("u 1", "u2", "u3") for i in range(3)], "upload string, i long, v string")
+    files.replace_partitions(first, path, ["upload"])
+    listed = lambda: {str(x.relative_to(tmp_path)) for x in (tmp_path / "t").rglob("*.parquet")}
+    before = listed()
+    again = spark.createDataFrame([("u2", 9, "new")], "upload string, i long, v string")
+    for _ in range(2):
+        files.replace_partitions(again, path, ["upload"], emptied=[("u 1",), ("absent",)])
+        got = sorted(map(tuple, spark.read.parquet(path).select("upload", "i", "v").collect()))
+        assert got == [("u2", 9, "new")] + [("u3", i, "u3") for i in range(3)]
+    assert {x for x in before if "u3" in x} == {x for x in listed() if "u3" in x} and not any("u%201" in x or "u 1" in x for x in listed())
+
+
+OLD = {1: ("a", "x"), 2: (None, "y"), 3: ("c", None)}
+NEW = {2: ("n", None), 3: (None, "z"), 4: ("d", None)}
+MERGED = {
+    "replace": {1: ("a", "x"), 2: ("n", None), 3: (None, "z"), 4: ("d", None)},
+    "new_first": {1: ("a", "x"), 2: ("n", "y"), 3: ("c", "z"), 4: ("d", None)},
+    "old_first": {1: ("a", "x"), 2: ("n", "y"), 3: ("c", "z"), 4: ("d", None)},
+    "keep": {1: ("a", "x"), 2: (None, "y"), 3: ("c", None), 4: ("d", None)},
+}
+
+
+@pytest.mark.parametrize("policy", D.POLICIES)
+def test_conflict_policies(policy):
+    con = sqlite3.connect(":memory:")
+    con.execute('CREATE TABLE "t" ("k" INTEGER, "a" TEXT, "b" TEXT, PRIMARY KEY ("k"))')
+    con.execute('CREATE TABLE "t_stage" ("k" INTEGER, "a" TEXT, "b" TEXT)')
+    con.executemany("INSERT INTO t VALUES (?, ?, ?)", [(k, *v) for k, v in OLD.items()] + [(9, "old", "old")])
+    con.executemany("INSERT INTO t_stage VALUES (?, ?, ?)", [(k, *v) for k, v in NEW.items()] * 2 + [(9, "new", "new")])
+    for _ in range(2):
+        con.execute(D.conflict_statement("t", "t_stage", ["k", "a", "b"], ["k"], policy))
+    last = ("new", "new") if policy in ("replace", "new_first") else ("old", "old")
+    assert {k: (a, b) for k, a, b in con.execute("SELECT * FROM t")} == MERGED[policy] | {9: last}
+    with pytest.raises(ValueError, match="policy"):
+        D.conflict_statement("t", "s", ["k"], ["k"], "other")
+
+
+@pytest.mark.parametrize("policy", D.POLICIES)
+def test_database_upserts_survive_reruns(spark, policy):
+    url, driver, t = "jdbc:derby:memory:masterline;create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}, f"up_{policy}"
+    D.execute(spark, url, [f'CREATE TABLE "{t}" ("k" BIGINT NOT NULL, "a" VARCHAR(100), "b" VARCHAR(100), PRIMARY KEY ("k"))', D.index_statement(t, ["a"])], driver)
+    frame = lambda rows: spark.createDataFrame([(k, *v, i) for i, (k, v) in enumerate(rows)], "k long, a string, b string, at long").repartition(3)
+    read = lambda: {r["k"]: (r["a"], r["b"]) for r in D.read_table(spark, url, f'"{t}"', driver).collect()}
+    D.upsert_table(frame(list(OLD.items())), url, t, ["k"], "replace", "at", driver, on_conflict=False)
+    assert read() == OLD
+    new = frame([(3, ("lost", "lost")), (None, ("no", "key")), *NEW.items()])
+    for _ in range(2):
+        D.upsert_table(new, url, t, ["k"], policy, "at", driver, on_conflict=False)
+        assert read() == MERGED[policy]
+    half = spark.createDataFrame([(k, *v) for k, v in NEW.items()], "k long, a string, b string")
+    D.stage_rows(half, url, f"{t}_stage", driver, marked=True)
+    D.stage_rows(half.filter("k < 4"), url, f"{t}_stage", driver, "append", marked=True)
+    D.execute(spark, url, [f'DELETE FROM "{t}_once"', *D.merge_statements(t, f"{t}_stage", f"{t}_once", ["k", "a", "b"], ["k"], policy, ["a", "b"])], driver)
+    assert read() == MERGED[policy]
+    with pytest.raises(Exception, match="(?i)column|token|syntax"):
+        D.execute(spark, url, [f'DELETE FROM "{t}"', "UPDATE nothing SET"], driver)
+    assert read() == MERGED[policy]

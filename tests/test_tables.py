@@ -76,3 +76,11 @@ def test_violations(spark):
     a, b = spark.createDataFrame([(1, None), (1, 5)], "k int, f int"), spark.createDataFrame([(4,)], "k int")
     got = {(r["constraint"], r["target"]): r["n"] for r in U.violations({"a": a, "b": b}, {"a": ["k"], "b": ["k"]}, {"a": ["f"]}, [("a", "f", "b", "k")]).collect()}
     assert got == {("primary_key", "a"): 1, ("primary_key", "b"): 0, ("not_null", "a.f"): 1, ("foreign_key", "a.f"): 1}
+
+
+def test_lookup_by_counts_finds_what_a_left_join_finds(spark):
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(["hot"] * 50 + ["a", "b", None, "c", "c"])], "key string, i long").repartition(3)
+    table = spark.createDataFrame([("hot", 1), ("a", 2), ("c", None), ("z", 9)], "key string, v long")
+    want = sorted(map(repr, df.join(table, "key", "left").collect()))
+    for rows, most in ((10, 10_000), (0, 10_000), (0, 5), (0, 1)):
+        assert sorted(map(repr, U.lookup(df, "key", table, most, rows).collect())) == want
