@@ -48,10 +48,11 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) ->
 
     Units start by frequency, dealt in turn. Then each unit, the most frequent first, moves to the class
     that gives the class bigram model the greatest likelihood, until a sweep moves none or `sweeps` are
-    over. Ties stay with the least class, so a rerun agrees.
+    over. A class's counts as first and as second of a pair are margins of their own: they differ where the
+    table lacks pairs. Ties stay with the least class, so a rerun agrees.
     """
-    size = pairs.sum(1)
-    order = np.argsort(-size, kind="stable")
+    first, second = pairs.sum(1), pairs.sum(0)
+    order = np.argsort(-(first + second), kind="stable")
     of = np.zeros(len(pairs), dtype=np.int64)
     of[order] = np.arange(len(pairs)) % classes
     one = np.zeros((len(pairs), classes))
@@ -59,12 +60,12 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) ->
     table = pairs.astype(np.float64)
     after, before = table @ one, table.T @ one
     between = one.T @ after
-    total = between.sum(1)
+    firsts, seconds = between.sum(1), between.sum(0)
     every = np.arange(classes)
     for _ in range(sweeps):
         moved = 0
         for u in order:
-            if not size[u]:
+            if not first[u] + second[u]:
                 break
             a, own = of[u], table[u, u]
             right, left = after[u].copy(), before[u].copy()
@@ -73,16 +74,18 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) ->
             between[a] -= right
             between[:, a] -= left
             between[a, a] -= own
-            total[a] -= size[u]
+            firsts[a] -= first[u]
+            seconds[a] -= second[u]
             gain = (xlogx(between + right) - xlogx(between)).sum(1) + (xlogx(between.T + left) - xlogx(between.T)).sum(1)
             diagonal = between[every, every]
             gain += xlogx(diagonal + right + left + own) + xlogx(diagonal) - xlogx(diagonal + right) - xlogx(diagonal + left)
-            gain -= 2 * (xlogx(total + size[u]) - xlogx(total))
+            gain -= xlogx(firsts + first[u]) - xlogx(firsts) + xlogx(seconds + second[u]) - xlogx(seconds)
             b = int(np.argmax(gain)) if gain.max() > gain[a] + 1e-6 else a
             between[b] += right
             between[:, b] += left
             between[b, b] += own
-            total[b] += size[u]
+            firsts[b] += first[u]
+            seconds[b] += second[u]
             if b != a:
                 of[u] = b
                 for sums, row in ((after, table[:, u]), (before, table[u])):

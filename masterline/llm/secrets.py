@@ -135,7 +135,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
         "_row", "_owner", "_repository", F.sha2(F.col("s.value"), 256).alias("value_sha"), live_looking(F.col("s.value"), F.col("s.kind")).alias("_looks"), "s.start", "s.kind", "s.stop"
     )
     owned = each.groupBy("value_sha", "_owner", "_repository").agg(F.count(F.lit(1)).alias("_n"))
-    owners = stage(owned.groupBy("value_sha").agg(F.countDistinct("_owner").alias("_o"), F.max(F.col("_owner").isNull().cast("int")).alias("_null"), F.countDistinct("_repository").alias("repositories"), F.sum("_n").alias("_rows")), "secret-values")
+    owners = stage(owned.groupBy("value_sha").agg(F.countDistinct("_owner").alias("_o"), F.max(F.col("_owner").isNull().cast("int")).alias("_null"), (F.countDistinct("_repository") + F.max(F.col("_repository").isNull().cast("int"))).alias("repositories"), F.sum("_n").alias("_rows")), "secret-values")
     k = F.lit(effective(rows, F.col("_owner")))
     chance = k * (1 - F.pow(1 - 1 / k, F.col("repositories")))
     owners = owners.withColumn("owners", F.col("_o") + F.col("_null"))

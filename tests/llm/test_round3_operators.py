@@ -7,10 +7,11 @@ import zlib
 from collections import Counter, defaultdict
 from hashlib import sha256
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from masterline.llm import importance, line_dedup, spelling
+from masterline.llm import class_lm, importance, line_dedup, secrets, spelling
 
 ASCII = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -204,3 +205,33 @@ def test_chain_ends(spark):
     links = [(f"w{i:03}", f"w{i + 1:03}") for i in range(100)] + [("a", "w050"), ("b", "a")]
     got = spelling.chain_ends(spark.createDataFrame(links, "word string, form string")).collect()
     assert len(got) == len(links) and {r["root"] for r in got} == {"w100"}
+
+
+def class_likelihood(pairs, of, classes):
+    table = np.zeros((classes, classes))
+    np.add.at(table, (of[:, None], of[None]), pairs)
+    return class_lm.xlogx(table).sum() - class_lm.xlogx(table.sum(1)).sum() - class_lm.xlogx(table.sum(0)).sum()
+
+
+def test_exchange_ends_where_no_move_helps():
+    for seed in range(20):
+        rng = np.random.default_rng(seed)
+        pairs = rng.poisson(rng.gamma(0.5, 4, size=(14, 14)) * rng.gamma(1, 1, size=(14, 1)))
+        pairs[:, :3] = 0
+        pairs[5] = 0
+        of = class_lm.exchange(pairs, 4, sweeps=100)
+        found = class_likelihood(pairs, of, 4)
+        for u in range(14):
+            for c in range(4):
+                other = of.copy()
+                other[u] = c
+                assert class_likelihood(pairs, other, 4) <= found + 1e-5
+
+
+def test_null_repositories_count_as_one(spark):
+    token = "token = 'q7Zk29fLm3Xp81Vt'"
+    rows = [(i, f"{token} {i}", f"o{i}", None) for i in range(9)] + [(20, "token = 'a9Bk41tRw7Qz53Ys'", "o1", None), (21, "token = 'a9Bk41tRw7Qz53Ys' x", "o1", "r1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, repo string")
+    got = {r["doc_id"]: r["spans"][0] for r in secrets.scan(docs, repository_col="repo").collect()}
+    assert all((got[i]["owners"], got[i]["repositories"], got[i]["live"]) == (9, 1, True) for i in range(9))
+    assert (got[20]["owners"], got[20]["repositories"]) == (1, 2)
