@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections import Counter
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from masterline.functions import text as T
@@ -31,7 +31,7 @@ def classes(names: DataFrame) -> DataFrame:
     numbered = kept(row_numbers(names.distinct(), [F.col("block"), F.col("name")], "id").withColumn("clean", T.comparison_name(F.col("name"))), "names")
     first = numbered.groupBy("block", "clean").agg(F.min("id").alias("first"))
     key = F.struct("block", "clean")
-    return kept(lookup(numbered.withColumn("_key", key), "_key", first.select(key.alias("_key"), "first")).drop("_key"), "classes")
+    return kept(lookup(numbered.withColumn("_key", key), "_key", first.select(key.alias("_key"), "first"), rows=numbered.count()).drop("_key"), "classes")
 
 
 def representatives(members: DataFrame) -> DataFrame:
@@ -81,8 +81,8 @@ def candidates(reps: DataFrame, threshold: float) -> DataFrame:
     right = F.concat(both, keyed("one", single), keyed("two", F.when(n > 1, pairs_of(F.col("tokens"), n)).otherwise(none)))
     groups = reps.filter("id = first").groupBy("block", "longest").agg(F.min("id").alias("_before"))
     key = F.struct("block", "longest")
-    floored = lookup(reps.withColumn("_key", key), "_key", groups.select(key.alias("_key"), "_before"))
-    floored = kept(floored.withColumn("floor", F.when(F.col("_before") < F.col("first"), F.greatest(F.lit(LONGEST), F.lit(threshold))).otherwise(F.lit(threshold))).drop("_key", "_before"), "floors")
+    floored = lookup(reps.withColumn("_key", key), "_key", groups.select(key.alias("_key"), "_before"), rows=reps.count())
+    floored = floored.withColumn("floor", F.when(F.col("_before") < F.col("first"), F.greatest(F.lit(LONGEST), F.lit(threshold))).otherwise(F.lit(threshold)))
     side = lambda s, keys: floored.select("block", *(F.col(c).alias(f"{c}_{s}") for c in ("id", "first", "tokens", "len", "floor")), F.explode(keys).alias("_k")).select("*", "_k.*").drop("_k")
     met = side("a", left).join(side("b", right), ["block", "kind", "k1", "k2"]).filter("first_a != first_b AND (kind IN ('one', 'two') OR id_a > id_b)")
     later = F.col("id_a") > F.col("id_b")
@@ -140,20 +140,21 @@ def leaders(reps: DataFrame, scored: DataFrame, part: int, tie_threshold: float)
     tied = F.coalesce(F.col("most") <= LONGEST, F.lit(tie_threshold <= LONGEST)) & F.col("longest").isNotNull()
     state = kept(start.join(most.withColumnRenamed("x", "first"), "first", "left").select("first", "block", "longest", "range", tied.alias("tied"), F.col("first").alias("leader")), "leaders")
     earlier = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    rows = state.count()
     while True:
         ends = state.select(F.col("first").alias("to"), F.col("leader").alias("_end"))
-        by_edges = lookup(edges, "to", ends).groupBy("first").agg(F.min("_end").alias("_edges"))
+        by_edges = lookup(edges, "to", ends, rows=rows).groupBy("first").agg(F.min("_end").alias("_edges"))
         ranges = state.filter("longest IS NOT NULL").groupBy("block", "longest", "range").agg(F.min("leader").alias("_least"))
         ranges = ranges.select("block", "longest", "range", F.min("_least").over(earlier(Window.partitionBy("block", "longest").orderBy("range"))).alias("_ranges"))
         inside = F.min("leader").over(earlier(Window.partitionBy("block", "longest", "range").orderBy("first")))
         own = state.filter("longest IS NOT NULL").select("first", "block", "longest", "range", "tied", inside.alias("_inside")).filter("tied")
         by_group = own.join(ranges, ["block", "longest", "range"]).select("first", F.least("_ranges", "_inside").alias("_group"))
-        jumped = lookup(state.withColumnRenamed("leader", "to"), "to", ends).withColumnRenamed("to", "leader")
+        jumped = lookup(state.withColumnRenamed("leader", "to"), "to", ends, rows=rows).withColumnRenamed("to", "leader")
         reached = F.least("leader", "_end", "_edges", "_group")
         moved = jumped.join(by_edges, "first", "left").join(by_group, "first", "left").select("first", "block", "longest", "range", "tied", reached.alias("leader"), (reached < F.col("leader")).alias("_moved"))
-        after = kept(moved, "leaders")
-        state = after.drop("_moved")
-        if after.filter("_moved").limit(1).count() == 0:
+        seen = Observation()
+        state = kept(moved.observe(seen, F.count_if("_moved").alias("moved")).drop("_moved"), "leaders")
+        if not seen.get["moved"]:
             return state.select("first", "leader")
 
 
@@ -164,8 +165,9 @@ def cluster_numbers(names: DataFrame, threshold: float, part: int) -> DataFrame:
     members = classes(names)
     reps = kept(representatives(members), "reps")
     found = leaders(reps, scored_pairs(reps, threshold), part, threshold)
-    led = lookup(members, "first", found).withColumn("leader", F.coalesce("leader", "first"))
+    rows = members.count()
+    led = lookup(members, "first", found, rows=rows).withColumn("leader", F.coalesce("leader", "first"))
     roots = kept(row_numbers(led.select("block", "leader").distinct(), [F.col("leader")], "_number"), "roots")
     starts = roots.groupBy("block").agg(F.min("_number").alias("_start"))
     numbers = roots.join(starts, "block").select("leader", (F.col("_number") - F.col("_start")).cast("int").alias("cluster"))
-    return lookup(led, "leader", numbers).select("block", "cluster", "name")
+    return lookup(led, "leader", numbers, rows=rows).select("block", "cluster", "name")

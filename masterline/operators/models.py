@@ -6,6 +6,8 @@ returns then is stated with it. Every step has a deterministic model of its own
 
 from __future__ import annotations
 
+import queue
+import threading
 import time
 from collections import deque
 from collections.abc import Callable, Iterator, Mapping
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 from masterline.functions import text as T
 from masterline.operators import clusters as C
 from masterline.operators import taxonomy
+from masterline.operators.budget import CallBudget
 from masterline.operators.ids import row_numbers
 
 #: Descriptions that are drawn for a supplier's tags, those that the model gets to see, and low-confidence lines
@@ -42,11 +45,42 @@ class RateLimiter:
         self.calls.append(self.clock())
 
 
-def answered(rows: DataFrame, model: Callable[[dict], Mapping | None], fields: Mapping[str, tuple[str, object]], per_minute: int | None = None) -> DataFrame:
+class Transport:
+    """A model whose calls have a time limit, and are tried again after a pause that doubles.
+
+    A call that isn't over in `seconds` counts as failed; it is left to end by itself. The last failure is raised.
+    """
+
+    def __init__(self, model: Callable[[dict], Mapping | None], seconds: float = 60.0, retries: int = 3, pause: float = 0.5) -> None:
+        self.model, self.seconds, self.retries, self.pause = model, seconds, max(1, retries), pause
+
+    def __call__(self, row: dict) -> Mapping | None:
+        for left in reversed(range(self.retries)):
+            done: queue.Queue = queue.Queue()
+            threading.Thread(target=self._call, args=(row, done), daemon=True).start()
+            try:
+                answer, failure = done.get(timeout=self.seconds)
+            except queue.Empty:
+                failure = TimeoutError(f"no answer in {self.seconds} s")
+            if failure is None:
+                return answer
+            if left:
+                time.sleep(self.pause * 2 ** (self.retries - 1 - left))
+        raise failure
+
+    def _call(self, row: dict, done: queue.Queue) -> None:
+        try:
+            done.put((self.model(row), None))
+        except Exception as failure:  # noqa: BLE001  an external model may fail in any way
+            done.put((None, failure))
+
+
+def answered(rows: DataFrame, model: Callable[[dict], Mapping | None], fields: Mapping[str, tuple[str, object]], per_minute: int | None = None, budget: CallBudget | None = None) -> DataFrame:
     """rows with the fields (name -> type, default) of the model's answer about each row.
 
     A field that the answer lacks or leaves blank, and all of them where the model fails or answers None, take
-    their default. per_minute limits each task, so a run's limit is divided by its tasks beforehand.
+    their default. A field named error, if asked for, gets the failure's message. budget limits the calls of all tasks
+    together, per_minute those of each task.
     """
     columns = rows.columns
     kinds = {"string": str, "double": float, "array<string>": list}
@@ -54,8 +88,8 @@ def answered(rows: DataFrame, model: Callable[[dict], Mapping | None], fields: M
     def one(row: dict) -> list:
         try:
             answer = model(row) or {}
-        except Exception:  # noqa: BLE001  an external model may fail in any way
-            answer = {}
+        except Exception as failure:  # noqa: BLE001  an external model may fail in any way
+            answer = {"error": f"{type(failure).__name__}: {failure}"[:500]}
         out = []
         for name, (kind, default) in fields.items():
             value = answer.get(name) if isinstance(answer, Mapping) else None
@@ -66,7 +100,7 @@ def answered(rows: DataFrame, model: Callable[[dict], Mapping | None], fields: M
         return out
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        limiter = RateLimiter(per_minute) if per_minute else None
+        limiter = budget or (RateLimiter(per_minute) if per_minute else None)
         for frame in frames:
             found = []
             for row in frame.to_dict("records"):
@@ -165,7 +199,7 @@ def consolidate(lines: DataFrame, supplier: str, key: str, description: str, mod
     schema = f"{key} {line_type}, answer int, l1 string, l2 string, l3 string"
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        limiter = RateLimiter(per_minute) if per_minute else None
+        limiter = budget or (RateLimiter(per_minute) if per_minute else None)
         for frame in frames:
             out = []
             for row in frame.to_dict("records"):

@@ -56,14 +56,14 @@ def flag_existing(df: DataFrame, other: DataFrame, key: Column, other_key: Colum
     return df.withColumn("_key", key).join(known, "_key", "left").withColumn(out, F.coalesce("_known", F.lit(False))).drop("_key", "_known")
 
 
-def lookup(df: DataFrame, key: str, table: DataFrame, most: int = 10_000, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def lookup(df: DataFrame, key: str, table: DataFrame, most: int = 10_000, broadcast_rows: int = BROADCAST_ROWS, rows: int | None = None) -> DataFrame:
     """df left-joined with table, which has a row per key at most; rows with a null key find nothing.
 
     A table of broadcast_rows rows at most is broadcast. Of a larger one, the keys that hold at least 1/most of the
     rows of df, so at most that many, are broadcast, and all others shuffled. However often a key comes, no task gets
-    all its rows.
+    all its rows. rows: how many table has at most, where that is known.
     """
-    if table.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    if (table.limit(broadcast_rows + 1).count() if rows is None else rows) <= broadcast_rows:
         return df.join(F.broadcast(table), key, "left")
     counts = kept(df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")), "counts")
     total = counts.agg(F.sum("_n")).first()[0] or 0

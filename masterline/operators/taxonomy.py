@@ -22,9 +22,9 @@ def contained(inner: DataFrame, outer: DataFrame) -> DataFrame:
     The trigrams of outer's tokens are posting lists; a token of inner probes the shortest list of its own trigrams, or
     none if one of them has no list, and only what stands there is compared.
     """
-    lists = kept(outer.select(F.col("token").alias("outer"), F.explode(_grams(F.col("token"))).alias("gram")), "postings")
+    lists = outer.select(F.col("token").alias("outer"), F.explode(_grams(F.col("token"))).alias("gram"))
     sizes = lists.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-    probes = lookup(inner.select("token", F.explode(_grams(F.col("token"))).alias("gram")), "gram", sizes)
+    probes = inner.select("token", F.explode(_grams(F.col("token"))).alias("gram")).join(sizes, "gram", "left")
     rarest = probes.groupBy(F.col("token").alias("inner")).agg(F.min(F.struct("n", "gram"))["gram"].alias("gram"), F.count_if(F.col("n").isNull()).alias("_lost")).filter("_lost = 0")
     return rarest.join(lists, "gram").filter((F.col("inner") != F.col("outer")) & F.col("outer").contains(F.col("inner"))).select("inner", "outer")
 

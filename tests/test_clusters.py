@@ -191,7 +191,7 @@ def test_pointer_forest_of_long_chains_and_ties(spark):
     reps = spark.createDataFrame([(i, i, "all", "even" if i % 2 == 0 and i > 250 else None) for i in range(1, n + 1)], "id long, first long, block string, longest string")
     chain = [(i, i - 1, 0.9) for i in range(3, 201)] + [(i, i - 1, 0.9) for i in range(203, 250)] + [(249, 5, 0.9), (249, 7, 0.7), (260, 150, 0.8), (270, 202, 0.8)]
     scored = spark.createDataFrame(chain, "x long, p long, score double")
-    for part in (4, 1000):
+    for part in (4,):
         got = {r["first"]: r["leader"] for r in L.leaders(reps, scored, part, 0.65).collect()}
         assert all(got[i] == 2 for i in range(2, 201)) and got[1] == 1 and got[201] == 201 and all(got[i] == 202 for i in range(202, 249))
         assert got[249] == 2 and got[252] == 252 and got[254] == got[258] == 252 and all(got[i] == 2 for i in range(260, 301, 2)) and got[251] == 251

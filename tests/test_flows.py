@@ -1,5 +1,7 @@
 """Whole flows: files to tables, uploads with known results, refresh, publishing, streams."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -184,3 +186,49 @@ def test_upload_folder_and_stream(spark, tmp_path):
 def test_hash_embedding_is_unit_or_zero(spark):
     got = [r[0] for r in spark.createDataFrame([("a b c",), ("",), (None,)], "t string").select(hash_embedding("t")).collect()]
     assert [round(sum(x * x for x in v), 4) for v in got] == [1, 0, 0]
+
+
+def test_ids_go_on_from_batch_to_batch(spark, tmp_path):
+    schema, parts = "vendor string, po string", {"acme/a.csv": ["Zeta", "alpha ", "", "Zeta"], "acme/b.csv": ["ALPHA", "Mid", "Beta"], "beta/c.csv": ["beta", "New", "zeta"]}
+    for name, vendors in parts.items():
+        write(tmp_path / "up" / name, "vendor,po\n" + "".join(f"{v},{name}{i}\n" for i, v in enumerate(vendors)))
+
+    def run(name, files_at_once):
+        at = [f"file://{tmp_path}/{name}-{x}" for x in ("state", "target", "cp")]
+        stream = ingest.upload_stream(spark, f"file://{tmp_path}/up", schema, "file", files_at_once)
+        ingest.assign_ids(stream, *at, "vendor", "file").awaitTermination()
+        return at, {r["po"]: (r["global_supplier_id"], r["is_new"]) for r in spark.read.parquet(at[1]).collect()}
+
+    _, whole = run("one", None)
+    assert {po: g for po, (g, _) in whole.items()} == {
+        "acme/a.csv0": "G10002", "acme/a.csv1": "G10001", "acme/a.csv2": None, "acme/a.csv3": "G10002", "acme/b.csv0": "G10001", "acme/b.csv1": "G10004", "acme/b.csv2": "G10003",
+        "beta/c.csv0": "G10003", "beta/c.csv1": "G10005", "beta/c.csv2": "G10002",
+    }
+    for mtime, name in enumerate(parts):
+        os.utime(tmp_path / "up" / name, (1_700_000_000 + 100 * mtime,) * 2)
+    at, cut = run("cut", 1)
+    assert {po: g for po, (g, _) in cut.items()} == {po: g for po, (g, _) in whole.items()}
+    assert spark.read.parquet(at[1]).select("batch_id").distinct().count() == 3
+    assert {po for po, (_, new) in cut.items() if new} == {"acme/a.csv0", "acme/a.csv1", "acme/a.csv3", "acme/b.csv1", "acme/b.csv2", "beta/c.csv1"}
+    # the last batch is run again, as after a failure before it was committed
+    commits = sorted((tmp_path / "cut-cp" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    for x in (commits[-1], commits[-1].with_name(f".{commits[-1].name}.crc")):
+        x.unlink(missing_ok=True)
+    assert run("cut", 1)[1] == cut and spark.read.parquet(at[0]).count() == 5
+
+
+def test_run_log_of_streams_without_calls(spark, tmp_path):
+    write(tmp_path / "up" / "acme" / "a.csv", "po\n1\n2\n")
+    log = f"file://{tmp_path}/log"
+    stream = ingest.upload_stream(spark, f"file://{tmp_path}/up", "po string")
+    with ingest.RunLogListener(spark, log):
+        ingest.ingest(stream, f"file://{tmp_path}/t", f"file://{tmp_path}/cp").awaitTermination()
+        failing = stream.writeStream.foreachBatch(lambda batch, _: batch.select(F.raise_error(F.lit("broken"))).collect()).option("checkpointLocation", f"file://{tmp_path}/cp2").trigger(availableNow=True).start()
+        with pytest.raises(Exception, match="broken"):
+            failing.awaitTermination()
+    got = files.read_log(spark, log).collect()
+    by_run = {}
+    for r in got:
+        by_run.setdefault(r["run_id"], []).append((r["stage"], r["status"], r["row_count"]))
+    assert sorted(map(sorted, by_run.values())) == [[("batch 0", "ok", 2), ("end", "ok", None), ("start", "ok", None)], [("end", "error", None), ("start", "ok", None)]]
+    assert any("broken" in (r["error_message"] or "") for r in got)

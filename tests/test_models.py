@@ -1,11 +1,15 @@
 """External models, the rate limiter, confirmation and consolidation."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
+from masterline.operators import budget as B
 from masterline.operators import clusters as G
 from masterline.operators import models as M
 from masterline.operators import taxonomy as X
+from masterline.operators.budget import CallBudget
 
 
 def test_rate_limiter_allows_so_many_in_any_minute():
@@ -103,3 +107,49 @@ def test_singletons_that_begin_alike_have_keys_of_their_own(spark):
 def test_odd_answers(spark, model):
     df = spark.createDataFrame([("u", "x")], "supplier string, d string")
     assert M.product_tags(df, "supplier", "d", model).count() == 1
+
+
+def test_one_budget_for_all_tasks(spark):
+    with CallBudget(spark, 6, 2.0) as budget:
+        def model(row):
+            return {"at": time.time()}
+
+        rows = M.answered(spark.range(16).repartition(4), model, {"at": ("double", 0.0), "error": ("string", "")}, budget=budget)
+        got = rows.collect()
+    at = sorted(r["at"] for r in got)
+    assert len(at) == 16 and all(r["error"] == "" for r in got)
+    assert all(b - a > 1.5 for a, b in zip(at, at[6:], strict=False)) and at[-1] - at[0] < 12
+
+
+def test_budget_grants_times_in_order():
+    grants = B._Grants(3, 10.0, b"key")
+    assert [grants.next_wait(t) for t in (0.0, 1.0, 1.0, 1.0, 2.0, 30.0)] == [0.0, 0.0, 0.0, 9.0, 9.0, 0.0]
+    grants.listener.close()
+    with pytest.raises(ValueError, match="one call"):
+        CallBudget(None, 0)
+
+
+def test_transport_limits_and_repeats():
+    calls = []
+
+    def model(row):
+        calls.append(row["n"])
+        if row["n"] == 1 and len(calls) < 3:
+            raise RuntimeError("busy")
+        if row["n"] == 2:
+            time.sleep(1)
+        return {"x": row["n"]}
+
+    ask = M.Transport(model, seconds=0.2, retries=3, pause=0.01)
+    assert ask({"n": 0}) == {"x": 0} and ask({"n": 1}) == {"x": 1} and calls == [0, 1, 1]
+    with pytest.raises(TimeoutError, match="0.2 s"):
+        M.Transport(model, 0.2, 2, 0.01)({"n": 2})
+    assert calls[3:] == [2, 2]
+
+
+def test_failures_are_told(spark):
+    def model(row):
+        raise RuntimeError("no network")
+
+    got = M.answered(spark.range(1), model, {"x": ("string", "none"), "error": ("string", "")}).first()
+    assert (got["x"], got["error"]) == ("none", "RuntimeError: no network")
