@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 import zlib
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from itertools import groupby
@@ -95,26 +96,49 @@ def one_edit(a: str, b: str) -> bool:
     """Whether exactly one inserted, deleted or replaced character makes b of a."""
     if len(a) < len(b):
         a, b = b, a
-    if len(a) - len(b) > 1 or a == b:
+    longer = len(a) - len(b)
+    if longer > 1 or a == b:
         return False
-    i = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), len(b))
-    return a[i + 1 :] == b[i + (len(a) == len(b)) :]
+    low, high = 0, len(b)
+    while low < high:  # the least place from which on they may differ
+        middle = (low + high + 1) // 2
+        if a[low:middle] == b[low:middle]:
+            low = middle
+        else:
+            high = middle - 1
+    return a[low + 1 :] == b[low + 1 - longer :]
+
+
+def holds(numbers: list[int], k: int) -> bool:
+    """Whether k is among ascending numbers."""
+    at = bisect_left(numbers, k)
+    return at < len(numbers) and numbers[at] == k
 
 
 def near_in_list(index: list[str], probes: list[str], q: int = GRAM) -> Iterator[tuple[int, int]]:
     """(place in probes, place in index) of the pairs one edit apart; the index's words have one length, which the
-    probes' have or exceed by one. Of two words of one length, the probe is the greater."""
+    probes' have or exceed by one. Of two words of one length, the probe is the greater.
+
+    A probe's posting lists hold places in ascending order, by gram and place in the word. A word that shares `least`
+    grams stands in one list at least besides the least - 1 longest: the other lists are merged, and what comes out of
+    them is counted in the longest by bisection.
+    """
     lists = defaultdict(list)
     for k, word in enumerate(index):
         for i in range(len(word) - q + 1):
             lists[word[i : i + q], i].append(k)
     for p, word in enumerate(probes):
         longer = len(word) - len(index[0])
-        merged = heapq.merge(*(lists[key] for i in range(len(word) - q + 1) for key in ((word[i : i + q], i - d) for d in range(longer + 1)) if key in lists))
         least = len(word) - 2 * q + 1
-        for k, shared in groupby(merged):
-            if (longer or index[k] < word) and sum(1 for _ in shared) >= least and one_edit(word, index[k]):
-                yield p, k
+        found = [lists[key] for i in range(len(word) - q + 1) for key in ((word[i : i + q], i - d) for d in range(longer + 1)) if key in lists]
+        found.sort(key=len)
+        cut = max(0, len(found) - least + 1)
+        short, long_ = found[:cut], found[cut:]
+        for k, shared in groupby(heapq.merge(*short)):
+            if longer or index[k] < word:
+                more = least - sum(1 for _ in shared)
+                if (more <= 0 or sum(holds(x, k) for x in long_) >= more) and one_edit(word, index[k]):
+                    yield p, k
 
 
 def near_pairs(words: DataFrame, q: int = GRAM, list_rows: int = LIST_ROWS) -> DataFrame:
