@@ -9,6 +9,7 @@ from difflib import SequenceMatcher
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, DoubleType, FloatType, StringType
 
@@ -130,6 +131,13 @@ def repair_json(s: pd.Series) -> pd.Series:
     return s.map(repair)
 
 
+def repaired_json(text: Column) -> Column:
+    """The JSON object in a text, as repair finds it; texts that are an object as they stand aren't repaired."""
+    whole = F.try_parse_json(text)
+    plain = whole.isNotNull() & F.schema_of_variant(whole).startswith("OBJECT")
+    return F.when(plain, text).otherwise(repair_json(F.when(~F.coalesce(plain, F.lit(False)), text)))
+
+
 @F.pandas_udf(ArrayType(FloatType()))
 def hash_embedding(s: pd.Series) -> pd.Series:
     """Deterministic stand-in for an embedding model: signed hashed words, 64 wide, of unit length; blank is zero."""

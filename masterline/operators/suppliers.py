@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from masterline.functions import text as T
 from masterline.operators.ids import format_id, max_id, row_numbers
-from masterline.operators.tables import keep_one
+from masterline.operators.tables import keep_one, lookup
 
 
 def cleaned_forms(forms: DataFrame, raw: str, n: str, out: str, clean: Callable[[Column], Column] = T.clean_name) -> DataFrame:
@@ -21,6 +21,13 @@ def cleaned_forms(forms: DataFrame, raw: str, n: str, out: str, clean: Callable[
     return forms.withColumn(out, F.when(F.col(n) > 0, clean(F.col(raw))))
 
 
+def by_distinct(df: DataFrame, column: str, f: Callable[[Column], Column], out: str) -> DataFrame:
+    """df with f of a column in out, computed once for each different value; null counts as one."""
+    key = F.struct(column)
+    forms = cleaned_forms(df.groupBy(column).agg(F.count(F.lit(1)).alias("_n")), column, "_n", out, f)
+    return lookup(df.withColumn("_key", key), "_key", forms.select(key.alias("_key"), out)).drop("_key")
+
+
 def aggregate_suppliers(rows: DataFrame, name: str = "supplier_name_normalized", clean: Callable[[Column], Column] | None = None) -> DataFrame:
     """Per name: sorted sets of raw forms, supplier ids and currencies, row count, and the sum of amounts.
 

@@ -15,7 +15,7 @@ from masterline.functions import text as T
 from masterline.functions import wordlists as W
 from masterline.functions.countries import normalize_country
 from masterline.functions.entity import classify_entity
-from masterline.functions.udfs import repair_json, sequence_ratio
+from masterline.functions.udfs import repaired_json, sequence_ratio
 from masterline.operators import clusters, suppliers, tables, taxonomy, vectors
 from masterline.operators.columns import conform
 from masterline.operators.ids import batches, format_id, row_numbers
@@ -128,12 +128,12 @@ def supplier_master(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {PO} SELECT line_id, {sql_clean('supplier_name_raw')} AS cleaned FROM po")
 def clean_name_norm(spark, d):
-    return po_lines(spark, d).select("line_id", T.clean_name(F.col("supplier_name_raw")).alias("cleaned"))
+    return suppliers.by_distinct(po_lines(spark, d).select("line_id", "supplier_name_raw"), "supplier_name_raw", T.clean_name, "cleaned").select("line_id", "cleaned")
 
 
 @query(f"WITH {PO} SELECT line_id, {sql_clean_lenient('supplier_name_raw')} AS cleaned FROM po")
 def clean_name_etl(spark, d):
-    return po_lines(spark, d).select("line_id", T.clean_name_lenient(F.col("supplier_name_raw")).alias("cleaned"))
+    return suppliers.by_distinct(po_lines(spark, d).select("line_id", "supplier_name_raw"), "supplier_name_raw", T.clean_name_lenient, "cleaned").select("line_id", "cleaned")
 
 
 @query(r"SELECT c_custkey, trim(regexp_replace(lower(c_name || '  ' || c_mktsegment), '\s+', ' ', 'g')) AS name_key FROM customer")
@@ -150,7 +150,7 @@ compared AS (SELECT *, array_to_string(CASE WHEN len(list_filter(s, lambda x: x
 
 @query(f"WITH {PO}, {_COMPARE} SELECT line_id, comparison AS comparison_name FROM compared")
 def comparison_name(spark, d):
-    return po_lines(spark, d).select("line_id", T.comparison_name(F.col("supplier_name_raw")).alias("comparison_name"))
+    return suppliers.by_distinct(po_lines(spark, d).select("line_id", "supplier_name_raw"), "supplier_name_raw", T.comparison_name, "comparison_name").select("line_id", "comparison_name")
 
 
 def _sql_bare(c: str) -> str:
@@ -580,7 +580,7 @@ def json_salvage(spark, d):
     """Damaged answers around the events' JSON: fenced, with talk around, or cut off."""
     n, p = F.col("event_id") % 4, F.col("props")
     broken = F.when(n == 0, F.concat(F.lit("```json\n"), p, F.lit("\n```"))).when(n == 1, F.concat(F.lit("Sure: "), p, F.lit(" done"))).when(n == 2, F.regexp_replace(p, r"\}$", ",")).otherwise(p)
-    return table(spark, d, "events").select("event_id", F.get_json_object(repair_json(broken), "$.k").cast("long").alias("k"))
+    return table(spark, d, "events").select("event_id", F.get_json_object(repaired_json(broken), "$.k").cast("long").alias("k"))
 
 
 @query("SELECT p_partkey, p_brand, CAST(floor((row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1) / 50) AS INT) AS batch FROM part")

@@ -344,6 +344,19 @@ def name_rows(spark, d):
     return po.join(forms.join(best, "cleaned"), "supplier_name_raw").select("line_id", "cleaned", "best_original")
 
 
+@query("""
+SELECT s_suppkey, 17.0::DOUBLE / 18 AS ratio, round(0.35 / 3 + 0.5 * 17.0 / 18, 9)::DOUBLE AS another, 0.85::DOUBLE AS subset, 0.8::DOUBLE AS longest, round(2 * 18.0 / (18 + 23), 9)::DOUBLE AS longer
+FROM supplier WHERE s_suppkey % 10 < 9
+""")
+def likeness_known(spark, d):
+    """Likeness of names whose common parts are known: numbered suppliers that differ in their last digit share 17 of 18
+    letters and one of three words; words added make a subset; the longest word alone is worth 0.8."""
+    s = table(spark, d, "supplier").filter("s_suppkey % 10 < 9").select("s_suppkey", F.col("s_name").alias("name"))
+    s = s.withColumn("other", F.concat(F.substring("name", 1, 17), F.substring("name", -1, 1).cast("int") + 1)).withColumn("more", F.concat(F.col("name"), F.lit(" Depot"))).withColumn("far", F.concat(F.lit("Xyz "), F.substring("name", -9, 9)))
+    like = lambda a, b: name_similarity(a, b, T.comparison_name(F.col(a)), T.comparison_name(F.col(b)))
+    return s.select("s_suppkey", sequence_ratio("name", "other").alias("ratio"), F.round(like("name", "other"), 9).alias("another"), like("name", "more").alias("subset"), like("name", "far").alias("longest"), F.round(sequence_ratio("name", F.concat("name", F.lit("#####"))), 9).alias("longer"))
+
+
 @query(f"WITH {PO}, {C._COMPARE} SELECT DISTINCT supplier_name_raw, array_to_string(list_sort(string_split(comparison, ' ')), ' ') AS sorted_tokens FROM compared")
 def sorted_tokens(spark, d):
     names = po_lines(spark, d).select("supplier_name_raw").distinct()

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import time
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -153,18 +152,22 @@ def replace_partitions(new: DataFrame, path: str, keys: list[str], emptied: list
 def publish(tables: dict[str, DataFrame], root: str) -> str:
     """Write all tables under a new version of root, then add a pointer to it: readers see all of a version or none.
 
-    Pointers are only added, each as one file that appears whole, and the latest counts.
+    Pointers are only added, each as one file that appears whole, and the latest counts: each gets the number after
+    those it finds, whatever the clock says; of two written at once the one with the greater version.
     """
     spark = next(iter(tables.values())).sparkSession
     version = uuid.uuid4().hex
     for name, df in tables.items():
         df.write.parquet(f"{root}/versions/{version}/{name}")
-    spark.createDataFrame([(time.time_ns(), version)], POINTER).coalesce(1).write.mode("append").json(f"{root}/current")
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/current")
+    there = at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+    last = spark.read.schema(POINTER).json(f"{root}/current").agg(F.max("at")).first()[0] if there else None
+    spark.createDataFrame([((last or 0) + 1, version)], POINTER).coalesce(1).write.mode("append").json(f"{root}/current")
     return version
 
 
 def published(spark: SparkSession, root: str, name: str) -> DataFrame:
-    version = spark.read.schema(POINTER).json(f"{root}/current").agg(F.max_by("version", "at")).first()[0]
+    version = spark.read.schema(POINTER).json(f"{root}/current").agg(F.max_by("version", F.struct("at", "version"))).first()[0]
     return spark.read.parquet(f"{root}/versions/{version}/{name}")
 
 
