@@ -220,3 +220,31 @@ def test_database_upserts_survive_reruns(spark, policy):
     with pytest.raises(Exception, match="(?i)column|token|syntax"):
         D.execute(spark, url, [f'DELETE FROM "{t}"', "UPDATE nothing SET"], driver)
     assert read() == MERGED[policy]
+
+
+def test_load_command_with_an_enrichment_module(spark, path, tmp_path, capsys):
+    (tmp_path / "mine.py").write_text("KNOWN = {'Acme Ltd': '12'}\n\n\ndef facts(row):\n    name = row['normalized_supplier_name']\n    return {'employee_count': KNOWN.get(name, ''), 'supplier_description': 'maker of ' + name}\n")
+    root = f"file://{tmp_path}/root"
+    asked = ["load", path, "--root", root, "--json", "--enrich-module", str(tmp_path / "mine.py"), "--enrich-function", "facts"]
+    assert cli.main([*asked, "--skip-enrich"], spark) == 0
+    assert files.published(spark, root, "supplier_attributes").filter("supplier_description IS NOT NULL").count() == 0
+    assert cli.main(asked, spark) == 0
+    names = files.published(spark, root, "supplier_master").select("global_supplier_id", "normalized_supplier_name")
+    got = {r["normalized_supplier_name"]: r["supplier_description"] for r in files.published(spark, root, "supplier_attributes").join(names, "global_supplier_id").collect()}
+    assert len(got) == 2 and all(v == f"maker of {k}" for k, v in got.items())
+    capsys.readouterr()
+    assert cli.main([*asked[:-1], "absent"], spark) == 1 and "no function absent" in capsys.readouterr().err
+
+
+def test_bulk_and_embed_commands(spark, tmp_path, capsys):
+    (tmp_path / "m.csv").write_text("client #,Normalized_Supplier_Name,Supplier_Description\n1,Acme,Steel pipes\n2,Globex,Legal advice\n1,Acme,Later\n")
+    path, root, at = f"file://{tmp_path}/m.csv", f"file://{tmp_path}/root", f"file://{tmp_path}/v"
+    said = lambda *args: (cli.main([*args, "--json"], spark), json.loads(capsys.readouterr().out))[1]
+    assert said("bulk", path, "--dry-run") == {"unique_suppliers": 2, "new_suppliers": 2, "existing_suppliers": 0, "clients": 2}
+    for new in (2, 0):
+        got = said("bulk", path, "--root", root)
+        assert (got["new_suppliers"], got["supplier_master_rows"], got["client_master_rows"]) == (new, 2, 2)
+    assert said("embed", "--root", root, "--vectors", at, "--dry-run")["new_vectors"] == 2
+    assert [said("embed", "--root", root, "--vectors", at, "--limit", "1")["new_vectors"] for _ in range(3)] == [1, 1, 0]
+    assert cli.main(["search", "pipes of steel", "--vectors", at, "--top", "1"], spark) == 0
+    assert capsys.readouterr().out.startswith("1. G10001")
