@@ -19,9 +19,9 @@ ROUNDS = 10
 FILES = 4
 
 
-def unit_rows(rows: list) -> np.ndarray:
+def unit_rows(rows: Sequence) -> np.ndarray:
     """Vectors of one width as rows of unit length; a zero vector stays zero."""
-    x = np.array(rows, dtype=np.float64).reshape(len(rows), len(rows[0]) if rows else 0)
+    x = np.array(rows, dtype=np.float64).reshape(len(rows), len(rows[0]) if len(rows) else 0)
     norms = np.linalg.norm(x, axis=1, keepdims=True)
     return np.divide(x, norms, out=np.zeros_like(x), where=norms > 0)
 
