@@ -1,4 +1,4 @@
-"""Near-duplicates by the exact likeness of shingle sets; prefixes of the sets find what to compare."""
+"""Near-duplicates by the exact likeness of shingle sets; blocks of SimHashes and prefixes of the sets find what to compare."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from masterline.llm import simhash
 from masterline.llm.common import join_skewed, small, stage, text_of
 from masterline.llm.components import components
 
@@ -165,6 +166,15 @@ def sketches(texts: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFra
     return texts.mapInArrow(run, "row long, d0 long, d1 long, f0 long, f1 long, n long, keys array<long>")
 
 
+def simhash_candidates(nodes: DataFrame) -> DataFrame:
+    """Edges a, b that connect the nodes(node, f0) whose SimHashes f0 differ in at most simhash.DISTANCE bits: pigeonhole
+    blocks of the bits, and the Hamming distance verified, as in op6. Nodes of one SimHash link to the least of them."""
+    firsts = stage(nodes.groupBy("f0").agg(F.min("node").alias("first")), "simhashes")
+    of = lambda c: firsts.select(F.col("f0").alias(c), F.col("first").alias(f"_{c}"))
+    across = simhash.links(firsts.select("f0")).join(of("a"), "a").join(of("b"), "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
+    return across.unionByName(nodes.join(firsts, "f0").filter("node != first").select(F.col("node").alias("a"), F.col("first").alias("b")))
+
+
 def candidates(nodes: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Edges a, b that connect what shares a prefix key and has close SimHashes, of nodes(node, f0, f1, keys)."""
     share = max(1, min(COUNTED, block_rows // 256))
@@ -293,9 +303,10 @@ def near_groups(docs: DataFrame, block_rows: int = BLOCK_ROWS, group_shingles: i
     """row, group (the row of one member) of docs(row long, all different, text): documents are linked by a
     Jaccard likeness of 0.8 or more of their sets of five-word shingles, and links go on.
 
-    The pigeonhole blocks are of shingle sets: sets as like share one of the rarest shingles of each, whatever
-    else differs. Those that share one have the Hamming distance of their SimHashes verified, and what is not
-    far apart makes candidate groups, inside each of which likeness is computed from the texts. Equal sets are
+    SimHashes within 4 bits are found by pigeonhole blocks of the bits, as in op6. These see few of the pairs at 0.8, so
+    the rest is found by blocks of the shingle sets: sets as like share one of the rarest shingles of each, whatever
+    else differs, and those that share one have the Hamming distance of longer SimHashes verified. What either finds
+    makes candidate groups, inside each of which likeness is computed from the texts. Equal sets are
     one node, so copies are never paired. Null and blank texts have one shingle, the empty one, so they are
     copies of each other; fewer than five words are one shingle; very long texts pass whole, one at a time; an
     empty table gives an empty result.
@@ -305,7 +316,8 @@ def near_groups(docs: DataFrame, block_rows: int = BLOCK_ROWS, group_shingles: i
     firsts = stage(sketched.groupBy("d0", "d1").agg(F.min("row").alias("node"), F.count(F.lit(1)).alias("copies")), "sets")
     copies = stage(sketched.select("row").join(firsts.select(F.col("node").alias("row")), "row", "left_anti"), "copies")
     nodes = sketched.join(small(copies), "row", "left_anti").withColumnRenamed("row", "node")
-    loose = components(stage(candidates(nodes, block_rows), "candidates"))
+    found = simhash_candidates(nodes).unionByName(candidates(nodes, block_rows)).distinct()
+    loose = components(stage(found, "candidates"))
     sizes = sketched.select(F.col("row").alias("node"), "n")
     members = stage(texts.withColumnRenamed("row", "node").join(small(stage(loose.join(sizes, "node"), "loose")), "node"), "members")
     exact = components(stage(verified(members, group_shingles), "links"))
