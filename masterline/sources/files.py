@@ -12,11 +12,14 @@ from pyspark.sql import functions as F
 from masterline.functions import wordlists as W
 from masterline.functions.text import clean_loaded, clean_name_lenient, clean_value, parse_amount, yes_no
 from masterline.operators.columns import find_column, name_like_column, named_column, quoted
+from masterline.operators.suppliers import cleaned_forms
 from masterline.operators.tables import keep_one, lookup
 from masterline.sources.scratch import kept
 
 LOG_SCHEMA = "run_id string, stage string, status string, row_count long, error_message string, timestamp timestamp"
 POINTER = "at long, version string"
+#: Different names up to which their cleaned forms are broadcast: some 50 MB.
+BROADCAST_FORMS = 500_000
 
 
 def read_csv(spark: SparkSession, path: str, encoding: str = "UTF-8", header: bool = True, multiline: bool = True) -> DataFrame:
@@ -75,7 +78,7 @@ def read_transactions(df: DataFrame, name_column: str | None = None, id_column:
     """Canonical transaction rows from a free-header frame; rows without a name are dropped.
 
     row_index, supplier_name_raw, supplier_name_normalized (the raw name where cleaning leaves nothing),
-    supplier_id, amount, currency, item_description.
+    supplier_id, amount, currency, item_description. Each different name is cleaned once, and its form looked up.
     """
     name = name_column or find_column(df.columns, W.NAME_COLUMNS)
     if name is None:
@@ -89,8 +92,10 @@ def read_transactions(df: DataFrame, name_column: str | None = None, id_column:
         of(W.CURRENCY_COLUMNS).alias("currency"),
         of(W.ITEM_COLUMNS).alias("item_description"),
     ).filter("supplier_name_raw IS NOT NULL")
-    clean = clean_name_lenient(F.col("supplier_name_raw"))
-    return rows.withColumn("supplier_name_normalized", F.coalesce(F.nullif(clean, F.lit("")), "supplier_name_raw"))
+    forms = df.select(of((), name).alias("supplier_name_raw")).filter("supplier_name_raw IS NOT NULL").groupBy("supplier_name_raw").agg(F.count(F.lit(1)).alias("_n"))
+    cleaned = kept(cleaned_forms(forms, "supplier_name_raw", "_n", "_clean", clean_name_lenient).select("supplier_name_raw", "_clean"), "name-forms")
+    found = lookup(rows, "supplier_name_raw", cleaned, broadcast_rows=BROADCAST_FORMS, rows=cleaned.count())
+    return found.select(*rows.columns, F.coalesce(F.nullif("_clean", F.lit("")), "supplier_name_raw").alias("supplier_name_normalized"))
 
 
 def read_bulk(df: DataFrame) -> tuple[DataFrame, DataFrame]:
